@@ -100,6 +100,12 @@ def first_truthy(columns: list[Column], empty: object) -> Column:
     return F.coalesce(*head, columns[-1])
 
 
+def is_truthy(value: Column, dtype: T.DataType) -> Column:
+    """Neither NULL, nor an empty text, nor zero."""
+    empty = F.lit("") if isinstance(dtype, T.StringType) else F.lit(0)
+    return F.coalesce(value != empty, F.lit(False))
+
+
 def novelty_factor(minutes: Column) -> Column:
     return (
         F.when(minutes == 0, F.lit(NOVELTY_UNSEEN))
@@ -110,7 +116,7 @@ def novelty_factor(minutes: Column) -> Column:
 
 
 def _blank_to_null(text: Column) -> Column:
-    trimmed = F.trim(text)
+    trimmed = F.btrim(text, F.lit(" \t\n\r\f\v"))
     return F.when(trimmed != "", trimmed)
 
 
