@@ -16,6 +16,8 @@ from cinelake.sources.schemas import EVENT_ALIASES
 # Decimals kept in derived measures, so that ranks do not hang on the order of float sums.
 DIGITS = 9
 
+WIDE_COLUMNS = 1000
+
 
 def normalize_events(events: DataFrame) -> DataFrame:
     """Customer, content and minutes under fixed names and types.
@@ -63,8 +65,16 @@ def build_matrix(events: DataFrame) -> Matrix:
     return Matrix(cells, sizes[0], sizes[1])
 
 
-def wide(matrix: Matrix, items: list[int]) -> DataFrame:
-    """Users by the given contents as columns, 0 where nothing was watched."""
+def wide(matrix: Matrix, bound: int = WIDE_COLUMNS) -> DataFrame:
+    """Users by contents with a column each, 0 where nothing was watched.
+
+    Only for catalogues of at most ``bound`` contents; everything else in this
+    package works on the long form.
+    """
+    if matrix.items > bound:
+        raise ValueError(f"{matrix.items} contents are too many columns")
+    keys = matrix.cells.select("Content_Key").distinct().orderBy("Content_Key").collect()
+    items = [row["Content_Key"] for row in keys]
     return (
         matrix.cells.groupBy("Customer_Key")
         .pivot("Content_Key", items)

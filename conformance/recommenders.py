@@ -35,7 +35,7 @@ def a10_cells(spark, directory) -> DataFrame:
     return matrix_of(spark, directory).cells.withColumn("Minutes", F.round("Minutes", 6))
 
 
-WIDE_ITEMS = [0, 1, 2, 3, 4, 5, 6, 7]
+WIDE_ITEMS = range(100)  # every content of the click-stream
 
 
 @case(
@@ -48,8 +48,8 @@ WIDE_ITEMS = [0, 1, 2, 3, 4, 5, 6, 7]
     ),
 )
 def a10_wide(spark, directory) -> DataFrame:
-    out = mx.wide(matrix_of(spark, directory), WIDE_ITEMS)
-    return out.select("Customer_Key", *[F.round(str(i), 6).alias(str(i)) for i in WIDE_ITEMS])
+    out = mx.wide(matrix_of(spark, directory))
+    return out.select("Customer_Key", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
 
 
 @case(

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cinelake.functions.scalars import shorten
+from cinelake.functions.scalars import date_key
 from cinelake.operators import cleaning, joins, matrix as mx, metrics, recommend, similarity
 from cinelake.operators.joins import Dim
 from cinelake.plans import recommendations, reports
 from cinelake.sources.retail_star import RetailStar
 from conformance import case
 from conformance.recommenders import matrix_of
-from conformance.star_sql import with_tables
+from conformance.star_sql import DATE_KEY, with_tables
 
 # --- joins
 
@@ -21,13 +20,18 @@ from conformance.star_sql import with_tables
 @case(
     "j1_p2_p6_p7_nested_lookup",
     """SELECT p_partkey AS "Key", 2 AS matches, len(list_filter([p_brand, p_type], lambda x: x LIKE 'Brand%')) AS brands,
-    p_brand AS first_key FROM part WHERE p_partkey % 10 < 6
-    UNION ALL SELECT p_partkey, 0, 0, NULL FROM part WHERE p_partkey % 10 >= 6""",
+    least(p_brand, p_type) AS first_key FROM part WHERE p_type <> 'ECONOMY'
+    UNION ALL SELECT p_partkey, 1, 1, p_brand FROM part WHERE p_type = 'ECONOMY' AND p_size > 25
+    UNION ALL SELECT p_partkey, 0, 0, NULL FROM part WHERE p_type = 'ECONOMY' AND p_size <= 25""",
 )
 def j1(spark, directory) -> DataFrame:
     """Categories nested into contents; contents that have none keep an empty array."""
     star = RetailStar(spark, directory)
-    bridge = star.content_category().filter(F.col("Content Key") % 10 < 6)
+    economy = star.raw("part").filter(F.col("p_type") == "ECONOMY")
+    small = economy.filter(F.col("p_size") <= 25).select("p_partkey")
+    bridge = joins.drop_matching(
+        star.content_category().filter(F.col("Category Key") != "ECONOMY"), small, "Content Key", "p_partkey"
+    )
     nested = joins.nest_lookup(star.content(), bridge, "Key", "Content Key", "Categorias")
     brands = F.filter("Categorias", lambda c: c["Category Key"].startswith("Brand"))
     return nested.select(
@@ -188,15 +192,15 @@ def j10(spark, directory) -> DataFrame:
 
 @case(
     "a1_a2_group_sum_and_count",
-    """SELECT l_suppkey, coalesce(CAST(sum(CASE WHEN l_suppkey % 4 > 0 THEN l_quantity END) AS BIGINT), 0) AS streams,
+    """SELECT l_returnflag, coalesce(CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) AS BIGINT), 0) AS streams,
     count(*) AS n FROM lineitem GROUP BY 1""",
 )
 def a1(spark, directory) -> DataFrame:
     """A group without a single value sums to 0."""
     lines = RetailStar(spark, directory).raw("lineitem").withColumn(
-        "streams", F.when(F.col("l_suppkey") % 4 > 0, F.col("l_quantity").cast("bigint"))
+        "streams", F.when(F.col("l_returnflag") != "R", F.col("l_quantity").cast("bigint"))
     )
-    return lines.groupBy("l_suppkey").agg(reports.total("streams").alias("streams"), F.count("*").alias("n"))
+    return lines.groupBy("l_returnflag").agg(reports.total("streams").alias("streams"), F.count("*").alias("n"))
 
 
 @case("a3_composite_group", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -306,13 +310,15 @@ def a22(spark, directory) -> DataFrame:
 
 @case(
     "a23_first_row_per_key",
-    """SELECT o_custkey, o_orderkey, o_orderdate FROM (
+    f"""SELECT o_custkey, o_orderkey, {DATE_KEY.format('o_orderdate')} AS day FROM (
       SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
     WHERE rn = 1""",
 )
 def a23(spark, directory) -> DataFrame:
-    orders = RetailStar(spark, directory).raw("orders").select("o_custkey", "o_orderkey", "o_orderdate")
-    return cleaning.first_by_key(orders, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")])
+    orders = RetailStar(spark, directory).raw("orders").select(
+        "o_custkey", "o_orderkey", date_key(F.col("o_orderdate")).alias("day")
+    )
+    return cleaning.first_by_key(orders, "o_custkey", [F.col("day"), F.col("o_orderkey")])
 
 
 @case(
@@ -345,10 +351,12 @@ def t2(spark, directory) -> DataFrame:
     return orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
 
 
-@case("t3_last_30_distinct", _LAST_DATES)
+@case(
+    "t3_last_30_distinct",
+    f"""SELECT DISTINCT {DATE_KEY.format('o_orderdate')} AS "Date Key" FROM orders ORDER BY 1 DESC LIMIT 30""",
+)
 def t3(spark, directory) -> DataFrame:
-    orders = RetailStar(spark, directory).raw("orders").select(F.col("o_orderdate").alias("Date Key"))
-    return reports.recent_dates(orders).withColumnRenamed("Date Key", "o_orderdate")
+    return reports.recent_dates(RetailStar(spark, directory).order_event())
 
 
 @case("t1_t4_t5_sorted_rows", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")
