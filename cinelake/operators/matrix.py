@@ -47,6 +47,7 @@ class Matrix:
     cells: DataFrame  # Customer_Key, Content_Key, Minutes
     users: int
     items: int
+    cell_count: int
 
     @property
     def seen(self) -> DataFrame:
@@ -61,8 +62,10 @@ def build_matrix(events: DataFrame) -> Matrix:
     """Sum minutes per user and content and store the result, since similarities,
     scores, popularity and metrics all read it."""
     cells = materialize(sum_cells(normalize_events(events)), "matrix")
-    sizes = cells.agg(F.count_distinct("Customer_Key"), F.count_distinct("Content_Key")).first()
-    return Matrix(cells, sizes[0], sizes[1])
+    sizes = cells.agg(
+        F.count_distinct("Customer_Key"), F.count_distinct("Content_Key"), F.count("*")
+    ).first()
+    return Matrix(cells, *sizes)
 
 
 def wide(matrix: Matrix, bound: int = WIDE_COLUMNS) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from cinelake.operators.matrix import DIGITS
 
-ROWS_PER_BLOCK = 1024
+ROWS_PER_BLOCK = 512
 CELLS_PER_BLOCK = 500_000
 FEATURES_PER_STEP = 2048
 
@@ -33,18 +33,24 @@ def _bucket(column: Column, count: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
 
 
-def block_pairs(df: DataFrame, key: str, blocks: int) -> DataFrame:
-    """Copy each row to every pair of blocks that its key takes part in."""
+MAX_TASKS = 100_000
+
+
+def block_pairs(df: DataFrame, key: str, blocks: int, *also: str, slices: int = 1) -> DataFrame:
+    """Copy each row to every pair of blocks that its key takes part in, and bring the
+    rows of a pair together. ``also`` names a further block column with ``slices`` values."""
     own = F.col("_block")
     pairs = F.transform(
         F.sequence(F.lit(0), F.lit(blocks - 1)),
         lambda other: F.struct(F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi")),
     )
+    tasks = min(blocks * (blocks + 1) // 2 * slices, MAX_TASKS)
     return (
         df.withColumn("_block", _bucket(F.col(key), blocks))
         .withColumn("_pair", F.explode(pairs))
         .select("*", F.col("_pair.lo").alias("_lo"), F.col("_pair.hi").alias("_hi"))
         .drop("_pair")
+        .repartition(tasks, "_lo", "_hi", *also)
     )
 
 
@@ -293,7 +299,7 @@ def gram(cells: DataFrame, row: str, feature: str, value: str, rows: int, cell_c
         F.col(row).alias("row"), F.col(feature).alias("feature"), F.col(value).alias("value")
     ).withColumn("_feature_block", _bucket(F.col("feature"), feature_blocks))
     return (
-        block_pairs(vectors, "row", row_blocks)
+        block_pairs(vectors, "row", row_blocks, "_feature_block", slices=feature_blocks)
         .groupBy("_lo", "_hi", "_feature_block")
         .applyInPandas(task, "a BIGINT, b BIGINT, part DOUBLE")
         .groupBy("a", "b")

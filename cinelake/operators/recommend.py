@@ -14,6 +14,7 @@ from cinelake.functions.scalars import default_title, novelty_factor
 from cinelake.operators.matrix import DIGITS, Matrix, popularity
 from cinelake.operators.pairwise import top_positive
 from cinelake.operators.similarity import both_ways, centred_user_units
+from cinelake.session import task_count
 
 # Sizes and thresholds of the recommenders.
 SIMILAR_USERS = 20
@@ -23,6 +24,9 @@ MIN_USER_MINUTES = 50
 MIN_VIEWERS = 3
 POOL_SIZE = LIST_SIZE * 3
 
+# Cells a task takes on before they are multiplied by their neighbours.
+CELLS_PER_TASK = 250_000
+
 
 def user_totals(matrix: Matrix) -> DataFrame:
     return matrix.cells.groupBy("Customer_Key").agg(F.sum("Minutes").alias("Total_Minutes"))
@@ -87,8 +91,10 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame) -> DataFrame:
     active = user_totals(matrix).filter(F.col("Total_Minutes") >= MIN_USER_MINUTES)
     asked = neighbours.join(active, neighbours["row"] == active["Customer_Key"], "left_semi")
     viewed = matrix.seen.withColumnRenamed("Customer_Key", "other")
+    tasks = task_count(matrix.cells.sparkSession, matrix.users * SIMILAR_USERS, CELLS_PER_TASK)
     votes = (
-        asked.join(viewed, "other")
+        asked.repartition(tasks, "row")
+        .join(viewed, "other")
         .groupBy(F.col("row").alias("Customer_Key"), "Content_Key")
         .agg(
             F.count("*").alias("_viewers"),
@@ -110,8 +116,9 @@ def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) ->
     candidate need no further shuffle.
     """
     near = both_ways(pairs.filter(F.col("similarity") > 0))
+    tasks = task_count(matrix.cells.sparkSession, matrix.cell_count, CELLS_PER_TASK)
     offers = (
-        matrix.seen.repartition("Customer_Key")
+        matrix.seen.repartition(tasks, "Customer_Key")
         .join(near, F.col("Content_Key") == F.col("item"))
         .select("Customer_Key", F.col("other").alias("Content_Key"), "item", "similarity", "Minutes")
     )

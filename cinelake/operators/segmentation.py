@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.functions.scalars import to_key, to_number
-from cinelake.operators.pairwise import ROWS_PER_BLOCK, blocks_for
+from cinelake.operators.pairwise import MAX_TASKS, ROWS_PER_BLOCK, blocks_for
 from cinelake.session import materialize
 from cinelake.sources.readers import require_rows, resolve_columns
 from cinelake.sources.schemas import EVENT_ALIASES
@@ -105,7 +105,7 @@ def assign_clusters(
             )
             return means.fit(scaled)
 
-        with ThreadPool(min(starts, 4)) as pool:
+        with ThreadPool(min(starts, 8)) as pool:
             models = pool.map(inheritable_thread_target(features.sparkSession)(fit), range(starts))
         best = min(models, key=lambda model: model.summary.trainingCost)
         return materialize(best.transform(scaled).drop("scaled"), "clusters")
@@ -240,6 +240,7 @@ def silhouette(assigned: DataFrame) -> DataFrame:
     schema = ", ".join(f"{a} DOUBLE" for a in axes) + ", Cluster INT, _weight BIGINT, _other INT, _distance DOUBLE"
     sums = (
         spread.withColumn("Cluster", F.col("Cluster").cast("int"))
+        .repartition(min(blocks * (blocks + 1) // 2, MAX_TASKS), "_lo", "_hi")
         .groupBy("_lo", "_hi")
         .applyInPandas(task, schema)
         .groupBy(*axes, "Cluster", "_weight", "_other")

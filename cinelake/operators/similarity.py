@@ -20,14 +20,15 @@ def centred_user_units(matrix: Matrix) -> DataFrame:
 
 def item_pairs(matrix: Matrix) -> DataFrame:
     """Adjusted cosine between contents, as (a, b, similarity) with a < b, zeros left out."""
-    values = materialize(centred(matrix), "centred")
-    dots = pairwise.gram(values, "Content_Key", "Customer_Key", "Value", matrix.items, values.count())
+    dots = pairwise.gram(
+        centred(matrix), "Content_Key", "Customer_Key", "Value", matrix.items, matrix.cell_count
+    )
     return pairwise.cosine_pairs(materialize(dots, "item-dots"))
 
 
-def text_pairs(weights: DataFrame, rows: int) -> DataFrame:
+def text_pairs(weights: DataFrame, rows: int, cell_count: int) -> DataFrame:
     """Cosine between texts out of their unit-length term weights (row, feature, value)."""
-    dots = pairwise.gram(weights, "row", "feature", "value", rows, weights.count())
+    dots = pairwise.gram(weights, "row", "feature", "value", rows, cell_count)
     return pairwise.cosine_pairs(materialize(dots, "text-dots"))
 
 

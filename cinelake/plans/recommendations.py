@@ -30,16 +30,18 @@ def aligned_texts(matrix: Matrix, documents: DataFrame) -> DataFrame:
     return align_catalog(matrix.cells, build_catalog(documents))
 
 
-def text_weights(texts: DataFrame, key: str, text: str, rows: int) -> DataFrame:
-    """TF-IDF weights of all texts. The counted terms feed both the vocabulary and
-    the weights, so they are stored."""
+def text_weights(texts: DataFrame, key: str, text: str, rows: int) -> tuple[DataFrame, int]:
+    """TF-IDF weights of all texts, and an upper bound of their number.
+
+    The counted terms feed both the vocabulary and the weights, so they are stored.
+    """
     counts = materialize(tfidf.term_counts(texts, key, text), "terms")
-    return tfidf.weights(counts, tfidf.vocabulary(counts), rows)
+    return tfidf.weights(counts, tfidf.vocabulary(counts), rows), counts.count()
 
 
 def text_similarity(matrix: Matrix, texts: DataFrame) -> DataFrame:
-    weighted = text_weights(texts, "Content_Key", "Texto", matrix.items).select("row", "feature", "value")
-    return text_pairs(materialize(weighted, "weights"), matrix.items)
+    weighted, size = text_weights(texts, "Content_Key", "Texto", matrix.items)
+    return text_pairs(weighted, matrix.items, size)
 
 
 def by_text(matrix: Matrix, documents: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ def build_session(app: str = "cinelake", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -50,6 +51,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Redistribute the rows by ``keys`` when the files yield fewer splits than there are cores.
+
+    For work that is heavy per row (text, wide rows) on an input of few files. A
+    table of many splits is left as it is.
+    """
+    wanted = cores(df.sparkSession)
+    if df.rdd.getNumPartitions() >= wanted:
+        return df
+    return df.repartition(wanted, *keys)
+
+
+def task_count(spark: SparkSession, rows: int, per_task: int) -> int:
+    """Partitions for a stage that multiplies its rows. Given to ``repartition`` by
+    number, because run-time coalescing judges by input size alone."""
+    return max(cores(spark), -(-rows // per_task))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 

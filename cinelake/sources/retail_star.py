@@ -11,6 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.functions.scalars import date_key
+from cinelake.session import spread
+
+# Layouts of the warehouse tables, so that no file is opened to infer them.
+RAW_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+}
 
 
 class RetailStar:
@@ -19,7 +36,7 @@ class RetailStar:
         self.directory = directory
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self.spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{self.directory}/{name}.parquet")
 
     def geography(self) -> DataFrame:
         nation, region = self.raw("nation"), self.raw("region")
@@ -78,7 +95,7 @@ class RetailStar:
         )
 
     def _order_lines(self) -> DataFrame:
-        lines, orders = self.raw("lineitem"), self.raw("orders")
+        lines, orders = spread(self.raw("lineitem"), "l_orderkey", "l_partkey"), self.raw("orders")
         return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
 
     def content_event(self) -> DataFrame:

@@ -455,7 +455,7 @@ def m15_vocabulary(spark, directory) -> DataFrame:
 )
 def m15(spark, directory) -> DataFrame:
     documents = RetailStar(spark, directory).raw("documents")
-    weighted = plans.text_weights(documents, "doc_id", "text", documents.count())
+    weighted, _ = plans.text_weights(documents, "doc_id", "text", documents.count())
     return weighted.select("row", "term", F.round("value", 6).alias("value"))
 
 
@@ -469,5 +469,5 @@ def m16_documents(spark, directory) -> DataFrame:
     """The 15 documents most similar to each document, over all words of all texts."""
     documents = RetailStar(spark, directory).raw("documents")
     rows = documents.count()
-    units = plans.text_weights(documents, "doc_id", "text", rows).select("row", "feature", "value")
+    units, _ = plans.text_weights(documents, "doc_id", "text", rows)
     return pairwise.top_positive(units, rows, recommend.SIMILAR_ITEMS)
