@@ -124,7 +124,7 @@ def top_positive(units: DataFrame, rows: int, k: int) -> DataFrame:
     """For every row vector the k others with the largest positive cosine, as
     (row, other, similarity); ties go to the lowest key."""
 
-    def task(key, part: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         left, right, cosines = _cosines(part, *key)
         if key[0] == key[1]:
             np.fill_diagonal(cosines, 0.0)
@@ -148,7 +148,7 @@ def pair_statistics(units: DataFrame, rows: int) -> DataFrame:
     """Count, mean, population deviation, least and largest cosine over all pairs of
     ``rows`` vectors. Vectors without a cell take part with cosine 0."""
 
-    def task(key, part: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         values = _pair_values(_cosines(part, *key)[2], key[0] == key[1])
         if len(values) == 0:
             return pd.DataFrame({"n": [], "s": [], "q": [], "lo": [], "hi": []})
@@ -227,7 +227,7 @@ def pair_histogram(units: DataFrame, rows: int, bins: int) -> DataFrame:
     found = pair_statistics(units, rows).first()
     low, high = found["Min"], found["Max"]
 
-    def task(key, part: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         values = _pair_values(_cosines(part, *key)[2], key[0] == key[1])
         if high == low:
             at = np.full(len(values), bins // 2)
@@ -282,7 +282,7 @@ def gram(cells: DataFrame, row: str, feature: str, value: str, rows: int, cell_c
     row_blocks = blocks_for(rows, ROWS_PER_BLOCK)
     feature_blocks = blocks_for(2 * cell_count, CELLS_PER_BLOCK * row_blocks)
 
-    def task(key, part: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         left, right, product = _sides(part, key[0], key[1])
         if key[0] == key[1]:
             product = np.triu(product)

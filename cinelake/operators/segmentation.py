@@ -218,7 +218,7 @@ def silhouette(assigned: DataFrame) -> DataFrame:
         out["_distance"] = sums.ravel()
         return out
 
-    def task(key, part: pd.DataFrame) -> pd.DataFrame:
+    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         lo, hi = key
         left = part[part["_block"] == lo]
         if lo == hi:
