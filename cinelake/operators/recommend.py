@@ -14,7 +14,7 @@ from cinelake.functions.scalars import default_title, novelty_factor
 from cinelake.operators.matrix import DIGITS, Matrix, popularity
 from cinelake.operators.pairwise import top_positive
 from cinelake.operators.similarity import both_ways, centred_user_units
-from cinelake.session import task_count
+from cinelake.session import materialize, task_count
 
 # Sizes and thresholds of the recommenders.
 SIMILAR_USERS = 20
@@ -27,6 +27,15 @@ POOL_SIZE = LIST_SIZE * 3
 # Cells a task takes on before they are multiplied by their neighbours.
 CELLS_PER_TASK = 250_000
 
+# Rows of three numbers up to which a counted table is broadcast, some 50 MB as a hash table.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """Hint a broadcast for a table whose counted rows allow it. Beyond that the join
+    is a sort-merge join, whose skewed partitions are split at run time."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
 
 def user_totals(matrix: Matrix) -> DataFrame:
     return matrix.cells.groupBy("Customer_Key").agg(F.sum("Minutes").alias("Total_Minutes"))
@@ -94,7 +103,7 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame) -> DataFrame:
     tasks = task_count(matrix.cells.sparkSession, matrix.users * SIMILAR_USERS, CELLS_PER_TASK)
     votes = (
         asked.repartition(tasks, "row")
-        .join(viewed, "other")
+        .join(broadcast_if_small(viewed, matrix.cell_count), "other")
         .groupBy(F.col("row").alias("Customer_Key"), "Content_Key")
         .agg(
             F.count("*").alias("_viewers"),
@@ -115,11 +124,11 @@ def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) ->
     are small enough to broadcast, the ranking and the sums per user and
     candidate need no further shuffle.
     """
-    near = both_ways(pairs.filter(F.col("similarity") > 0))
+    near = materialize(both_ways(pairs.filter(F.col("similarity") > 0)), "near")
     tasks = task_count(matrix.cells.sparkSession, matrix.cell_count, CELLS_PER_TASK)
     offers = (
         matrix.seen.repartition(tasks, "Customer_Key")
-        .join(near, F.col("Content_Key") == F.col("item"))
+        .join(broadcast_if_small(near, near.count()), F.col("Content_Key") == F.col("item"))
         .select("Customer_Key", F.col("other").alias("Content_Key"), "item", "similarity", "Minutes")
     )
     best = W.partitionBy("Customer_Key", "Content_Key").orderBy(F.desc("similarity"), "item")
