@@ -5,7 +5,9 @@ one task: its rows are multiplied in memory and only a small summary leaves the
 task (the best k per row, counts, or histogram bins), never the pairs. A content
 seen by a third of the users therefore does not multiply rows, as it would in a
 self-join on that content. Work is quadratic in the number of vectors, as the
-full similarity matrix is; the shuffle carries each cell once per block.
+full similarity matrix is; the shuffle carries each cell once per block. Within a
+task the product is a dense matrix product or, when few cells have a feature in
+common, a sum over just those.
 """
 
 from __future__ import annotations
@@ -20,15 +22,24 @@ from pyspark.sql import functions as F
 
 from cinelake.operators.matrix import DIGITS
 
-ROWS_PER_BLOCK = 512
-CELLS_PER_BLOCK = 500_000
+ROWS_PER_BLOCK = 2048
+CELLS_PER_BLOCK = 1_000_000
 FEATURES_PER_STEP = 2048
+PRODUCTS_PER_STEP = 4_000_000
+
+# What one product of two sparse cells costs, in multiply-adds of a dense matrix product.
+SPARSE_COST = 100
 
 
 def blocks_for(count: int, per_block: int) -> int:
     return max(1, math.ceil(count / per_block))
 
 
+def row_blocks_for(rows: int, cell_count: int) -> int:
+    """Blocks that bound both the rows and the cells a task holds."""
+    return max(blocks_for(rows, ROWS_PER_BLOCK), blocks_for(cell_count, CELLS_PER_BLOCK))
+
+
 def _bucket(column: Column, count: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(count)).cast("int")
 
@@ -65,40 +76,69 @@ def unit_rows(cells: DataFrame, row: str, feature: str, value: str) -> DataFrame
     )
 
 
-def _sides(part: pd.DataFrame, lo: int, hi: int):
-    """Keys of both blocks in ascending order and their product matrix."""
-    left = part[part["_block"] == lo]
-    right = left if lo == hi else part[part["_block"] == hi]
-    left_keys, left_row = np.unique(left["row"].to_numpy(), return_inverse=True)
-    right_keys, right_row = np.unique(right["row"].to_numpy(), return_inverse=True)
-    product = np.zeros((len(left_keys), len(right_keys)))
-    if product.size == 0:
-        return left_keys, right_keys, product
-    shared = np.intersect1d(left["feature"].to_numpy(), right["feature"].to_numpy())
-
-    def placed(frame, rows):
-        feature = frame["feature"].to_numpy()
-        at = np.searchsorted(shared, feature)
-        at[at == len(shared)] = 0
-        known = shared[at] == feature if len(shared) else np.zeros(len(feature), dtype=bool)
-        order = np.argsort(at[known], kind="stable")
-        return at[known][order], rows[known][order], frame["value"].to_numpy()[known][order]
-
-    left_at, left_row, left_value = placed(left, left_row)
-    right_at, right_row, right_value = placed(right, right_row)
-    for start in range(0, len(shared), FEATURES_PER_STEP):
-        width = min(FEATURES_PER_STEP, len(shared) - start)
-
-        def dense(at, rows, values, height):
+def _coded(frame: pd.DataFrame, shared: np.ndarray):
+    """A block's keys in ascending order, and its cells on the shared features as
+    (feature number, row number, value) sorted by feature."""
+    keys, row = np.unique(frame["row"].to_numpy(), return_inverse=True)
+    feature = frame["feature"].to_numpy()
+    at = np.minimum(np.searchsorted(shared, feature), max(len(shared) - 1, 0))
+    known = np.flatnonzero(shared[at] == feature) if len(shared) else np.empty(0, dtype=int)
+    order = known[np.argsort(at[known], kind="stable")]
+    return keys, at[order], row[order], frame["value"].to_numpy()[order]
+
+
+def _dense_product(left, right, features: int) -> np.ndarray:
+    """Product over stretches of features, each written out as two small matrices."""
+    out = np.zeros((len(left[0]), len(right[0])))
+    for start in range(0, features, FEATURES_PER_STEP):
+        width = min(FEATURES_PER_STEP, features - start)
+
+        def stretch(keys, at, row, value):
             a, b = np.searchsorted(at, [start, start + width])
-            out = np.zeros((height, width))
-            out[rows[a:b], at[a:b] - start] = values[a:b]
-            return out
+            part = np.zeros((len(keys), width))
+            part[row[a:b], at[a:b] - start] = value[a:b]
+            return part
 
-        product += dense(left_at, left_row, left_value, len(left_keys)) @ dense(
-            right_at, right_row, right_value, len(right_keys)
-        ).T
-    return left_keys, right_keys, product
+        out += stretch(*left) @ stretch(*right).T
+    return out
+
+
+def _sparse_product(left, right, first: np.ndarray, matches: np.ndarray) -> np.ndarray:
+    """Product that visits only cells with a common feature, a bounded number at a time.
+
+    ``first`` and ``matches`` tell, for each left cell, where the right cells of
+    its feature start and how many there are.
+    """
+    rows, columns = len(left[0]), len(right[0])
+    out = np.zeros(rows * columns)
+    done = np.concatenate([[0], np.cumsum(matches)])
+    a = 0
+    while a < len(matches):
+        b = max(a + 1, int(np.searchsorted(done, done[a] + PRODUCTS_PER_STEP, side="right")) - 1)
+        count = matches[a:b]
+        mine = np.repeat(np.arange(a, b), count)
+        theirs = np.arange(done[b] - done[a]) + np.repeat(first[a:b] - (done[a:b] - done[a]), count)
+        place = left[2][mine] * columns + right[2][theirs]
+        out += np.bincount(place, weights=left[3][mine] * right[3][theirs], minlength=rows * columns)
+        a = b
+    return out.reshape(rows, columns)
+
+
+def _sides(part: pd.DataFrame, lo: int, hi: int):
+    """Keys of both blocks in ascending order and their product matrix."""
+    left_part = part[part["_block"] == lo]
+    right_part = left_part if lo == hi else part[part["_block"] == hi]
+    shared = np.intersect1d(left_part["feature"].to_numpy(), right_part["feature"].to_numpy())
+    left = _coded(left_part, shared)
+    right = left if lo == hi else _coded(right_part, shared)
+    first = np.searchsorted(right[1], left[1], side="left")
+    matches = np.searchsorted(right[1], left[1], side="right") - first
+    dense_work = len(left[0]) * len(right[0]) * len(shared)
+    if matches.sum() * SPARSE_COST < dense_work:
+        product = _sparse_product(left, right, first, matches)
+    else:
+        product = _dense_product(left, right, len(shared))
+    return left[0], right[0], product
 
 
 def _cosines(part: pd.DataFrame, lo: int, hi: int):
@@ -120,7 +160,7 @@ def _best(keys, other_keys, cosines, k: int) -> pd.DataFrame:
     )
 
 
-def top_positive(units: DataFrame, rows: int, k: int) -> DataFrame:
+def top_positive(units: DataFrame, rows: int, cell_count: int, k: int) -> DataFrame:
     """For every row vector the k others with the largest positive cosine, as
     (row, other, similarity); ties go to the lowest key."""
 
@@ -132,7 +172,7 @@ def top_positive(units: DataFrame, rows: int, k: int) -> DataFrame:
         return pd.concat([_best(left, right, cosines, k), _best(right, left, cosines.T, k)])
 
     per_block = (
-        block_pairs(units, "row", blocks_for(rows, ROWS_PER_BLOCK))
+        block_pairs(units, "row", row_blocks_for(rows, cell_count))
         .groupBy("_lo", "_hi")
         .applyInPandas(task, "row BIGINT, other BIGINT, similarity DOUBLE")
     )
@@ -144,7 +184,7 @@ def _pair_values(cosines: np.ndarray, same: bool) -> np.ndarray:
     return cosines[np.triu_indices(len(cosines), k=1)] if same else cosines.ravel()
 
 
-def pair_statistics(units: DataFrame, rows: int) -> DataFrame:
+def pair_statistics(units: DataFrame, rows: int, cell_count: int) -> DataFrame:
     """Count, mean, population deviation, least and largest cosine over all pairs of
     ``rows`` vectors. Vectors without a cell take part with cosine 0."""
 
@@ -163,7 +203,7 @@ def pair_statistics(units: DataFrame, rows: int) -> DataFrame:
         )
 
     parts = (
-        block_pairs(units, "row", blocks_for(rows, ROWS_PER_BLOCK))
+        block_pairs(units, "row", row_blocks_for(rows, cell_count))
         .groupBy("_lo", "_hi")
         .applyInPandas(task, "n BIGINT, s DOUBLE, q DOUBLE, lo DOUBLE, hi DOUBLE")
     )
@@ -221,10 +261,10 @@ def bin_index(value: Column, low: float, high: float, bins: int) -> Column:
     return F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
 
 
-def pair_histogram(units: DataFrame, rows: int, bins: int) -> DataFrame:
+def pair_histogram(units: DataFrame, rows: int, cell_count: int, bins: int) -> DataFrame:
     """Equal-width histogram of the cosine over all pairs of ``rows`` vectors, between
     the least and the largest cosine, as (Bin, Pairs)."""
-    found = pair_statistics(units, rows).first()
+    found = pair_statistics(units, rows, cell_count).first()
     low, high = found["Min"], found["Max"]
 
     def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -237,7 +277,7 @@ def pair_histogram(units: DataFrame, rows: int, bins: int) -> DataFrame:
         return pd.DataFrame({"Bin": numbers.astype("int32"), "Pairs": counts})
 
     counted = (
-        block_pairs(units, "row", blocks_for(rows, ROWS_PER_BLOCK))
+        block_pairs(units, "row", row_blocks_for(rows, cell_count))
         .groupBy("_lo", "_hi")
         .applyInPandas(task, "Bin INT, Pairs BIGINT")
         .groupBy("Bin")

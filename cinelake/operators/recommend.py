@@ -52,7 +52,7 @@ def similar_users(matrix: Matrix, k: int = SIMILAR_USERS) -> DataFrame:
     k = min(k, matrix.users - 1)
     if k < 1:
         return matrix.cells.sparkSession.createDataFrame([], "row BIGINT, other BIGINT, similarity DOUBLE")
-    positive = top_positive(centred_user_units(matrix), matrix.users, k)
+    positive = top_positive(centred_user_units(matrix), matrix.users, matrix.cell_count, k)
     users = matrix.cells.select("Customer_Key").distinct()
     lowest = users.orderBy("Customer_Key").limit(k + 1).agg(F.array_sort(F.collect_list("Customer_Key")))
     per_user = positive.groupBy(F.col("row").alias("_row")).agg(

@@ -99,13 +99,13 @@ def _top(name: str) -> str:
 @case("m12_raw_user_similarity", with_tables("sim_raw", _top("sim_raw")))
 def m12(spark, directory) -> DataFrame:
     m = matrix_of(spark, directory)
-    return pairwise.top_positive(similarity.raw_user_units(m), m.users, 20)
+    return pairwise.top_positive(similarity.raw_user_units(m), m.users, m.cell_count, 20)
 
 
 @case("m13_centred_user_similarity", with_tables("sim_u", _top("sim_u")))
 def m13(spark, directory) -> DataFrame:
     m = matrix_of(spark, directory)
-    return pairwise.top_positive(similarity.centred_user_units(m), m.users, 20)
+    return pairwise.top_positive(similarity.centred_user_units(m), m.users, m.cell_count, 20)
 
 
 @case(
@@ -136,13 +136,13 @@ def _stats_sql(name: str, size: str) -> str:
 @case("m17_user_similarity_statistics", with_tables("sim_u n_users", _stats_sql("sim_u", "(SELECT n FROM n_users)")))
 def m17_users(spark, directory) -> DataFrame:
     m = matrix_of(spark, directory)
-    return pairwise.pair_statistics(similarity.centred_user_units(m), m.users)
+    return pairwise.pair_statistics(similarity.centred_user_units(m), m.users, m.cell_count)
 
 
 @case("m17_raw_similarity_statistics", with_tables("sim_raw n_users", _stats_sql("sim_raw", "(SELECT n FROM n_users)")))
 def m17_raw(spark, directory) -> DataFrame:
     m = matrix_of(spark, directory)
-    return pairwise.pair_statistics(similarity.raw_user_units(m), m.users)
+    return pairwise.pair_statistics(similarity.raw_user_units(m), m.users, m.cell_count)
 
 
 @case("m17_item_similarity_statistics", with_tables("sim_i n_items", _stats_sql("sim_i", "(SELECT n FROM n_items)")))
@@ -178,13 +178,13 @@ def _with_histogram(tables: str, name: str, size: str) -> str:
 @case("m24_raw_similarity_histogram", _with_histogram("sim_raw cell", "sim_raw", "u"))
 def m24_raw(spark, directory) -> DataFrame:
     m = matrix_of(spark, directory)
-    return pairwise.pair_histogram(similarity.raw_user_units(m), m.users, metrics.HISTOGRAM_BINS)
+    return pairwise.pair_histogram(similarity.raw_user_units(m), m.users, m.cell_count, metrics.HISTOGRAM_BINS)
 
 
 @case("m24_centred_similarity_histogram", _with_histogram("sim_u cell", "sim_u", "u"))
 def m24_centred(spark, directory) -> DataFrame:
     m = matrix_of(spark, directory)
-    return pairwise.pair_histogram(similarity.centred_user_units(m), m.users, metrics.HISTOGRAM_BINS)
+    return pairwise.pair_histogram(similarity.centred_user_units(m), m.users, m.cell_count, metrics.HISTOGRAM_BINS)
 
 
 @case("m24_item_similarity_histogram", _with_histogram("sim_i cell", "sim_i", "i"))
@@ -469,5 +469,5 @@ def m16_documents(spark, directory) -> DataFrame:
     """The 15 documents most similar to each document, over all words of all texts."""
     documents = RetailStar(spark, directory).raw("documents")
     rows = documents.count()
-    units, _ = plans.text_weights(documents, "doc_id", "text", rows)
-    return pairwise.top_positive(units, rows, recommend.SIMILAR_ITEMS)
+    units, size = plans.text_weights(documents, "doc_id", "text", rows)
+    return pairwise.top_positive(units, rows, size, recommend.SIMILAR_ITEMS)

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,29 +132,47 @@ def test_small_blocks_give_the_same_result(spark, monkeypatch):
     units = similarity.centred_user_units(matrix)
 
     def summary():
-        best = sorted(map(tuple, pairwise.top_positive(units, matrix.users, 5).collect()))
+        best = sorted(map(tuple, pairwise.top_positive(units, matrix.users, matrix.cell_count, 5).collect()))
         items = sorted(map(tuple, similarity.item_pairs(matrix).collect()))
-        return best, items, pairwise.pair_statistics(units, matrix.users).collect(), pairwise.pair_histogram(
-            units, matrix.users, 35
+        return best, items, pairwise.pair_statistics(units, matrix.users, matrix.cell_count).collect(), pairwise.pair_histogram(
+            units, matrix.users, matrix.cell_count, 35
         ).collect()
 
     whole = summary()
     monkeypatch.setattr(pairwise, "ROWS_PER_BLOCK", 7)
     monkeypatch.setattr(pairwise, "CELLS_PER_BLOCK", 40)
-    monkeypatch.setattr(pairwise, "FEATURES_PER_STEP", 3)
     split = summary()
     assert split[0] == whole[0] and split[2:] == whole[2:]
     assert [p[:2] for p in split[1]] == [p[:2] for p in whole[1]]
     assert [p[2] for p in split[1]] == pytest.approx([p[2] for p in whole[1]], abs=2e-9)
 
 
+@pytest.mark.parametrize("same", [True, False])
+@pytest.mark.parametrize("density", [0.0, 0.05, 0.5])
+def test_block_products(monkeypatch, same, density):
+    """Dense and sparse products, in small steps, against one matrix product."""
+    rng = np.random.default_rng(12)
+    full = rng.normal(size=(30, 50)) * (rng.random((30, 50)) < density)
+    row, feature = np.nonzero(full)
+    part = pd.DataFrame(
+        {"row": row * 3, "feature": feature * 7, "value": full[row, feature], "_block": 0 if same else row % 2}
+    )
+    monkeypatch.setattr(pairwise, "FEATURES_PER_STEP", 6)
+    monkeypatch.setattr(pairwise, "PRODUCTS_PER_STEP", 11)
+    for cost in (0, 10**9):
+        monkeypatch.setattr(pairwise, "SPARSE_COST", cost)
+        left, right, product = pairwise._sides(part, 0, 0 if same else 1)
+        assert list(left) == sorted({3 * r for r in row if same or r % 2 == 0})
+        assert product == pytest.approx(full[left // 3] @ full[right // 3].T)
+
+
 def test_a_hot_content_leaves_no_pairs_in_the_shuffle(spark):
     """All users share one content; the tasks still send back k rows per user and block."""
     dense = np.zeros((40, 3))
     dense[:, 0] = np.arange(1, 41)
     dense[:, 1] = 5
     matrix = build_matrix(events_of(spark, dense))
-    best = pairwise.top_positive(similarity.raw_user_units(matrix), matrix.users, 4)
+    best = pairwise.top_positive(similarity.raw_user_units(matrix), matrix.users, matrix.cell_count, 4)
     assert best.count() == 40 * 4
 
 
@@ -161,7 +180,7 @@ def test_statistics_count_pairs_that_share_nothing(spark):
     dense = np.array([[10, 20, 0, 0], [20, 10, 0, 0], [0, 0, 5, 9], [7, 7, 0, 0]], dtype=float)
     matrix = build_matrix(events_of(spark, dense))
     values = cosine(centre(dense))[np.triu_indices(4, k=1)]
-    got = pairwise.pair_statistics(similarity.centred_user_units(matrix), matrix.users).first()
+    got = pairwise.pair_statistics(similarity.centred_user_units(matrix), matrix.users, matrix.cell_count).first()
     assert got["Pairs"] == 6
     assert (got["Mean"], got["Std"]) == pytest.approx((values.mean(), values.std()), abs=1e-6)
     assert (got["Min"], got["Max"]) == (values.min(), values.max())
@@ -172,7 +191,7 @@ def test_statistics_count_pairs_that_share_nothing(spark):
 
 def test_one_user_has_no_pairs(spark):
     matrix = build_matrix(events_of(spark, np.array([[60.0, 10.0]])))
-    got = pairwise.pair_statistics(similarity.centred_user_units(matrix), matrix.users).first()
+    got = pairwise.pair_statistics(similarity.centred_user_units(matrix), matrix.users, matrix.cell_count).first()
     assert tuple(got) == (0, 0.0, 0.0, 0.0, 0.0)
     assert recommend.similar_users(matrix).count() == 0
     assert lists_of(plans.user_user(matrix)) == {0: [(0, 60.0), (1, round(10 * 1.12, 9))]}
@@ -275,7 +294,7 @@ def test_text_recommender_against_brute_force(spark):
 def test_histogram_of_equal_values_uses_one_bin(spark):
     dense = np.array([[1.0, 2.0], [1.0, 2.0], [1.0, 2.0]])
     matrix = build_matrix(events_of(spark, dense))
-    bins = pairwise.pair_histogram(similarity.raw_user_units(matrix), 3, 35).collect()
+    bins = pairwise.pair_histogram(similarity.raw_user_units(matrix), 3, 6, 35).collect()
     assert len(bins) == 35 and [(b["Bin"], b["Pairs"]) for b in bins if b["Pairs"]] == [(17, 3)]
     assert sum(b["Pairs"] for b in bins) == 3
 
