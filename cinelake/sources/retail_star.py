@@ -119,7 +119,7 @@ class RetailStar:
             (F.col("l_linestatus") == "F").alias("Completion Flag"),
         )
 
-    def order_event(self) -> DataFrame:
+    def activity(self) -> DataFrame:
         """Activity dates per customer: one event per order."""
         return self.raw("orders").select(
             date_key(F.col("o_orderdate")).alias("Date Key"), F.col("o_custkey").alias("Customer Key")

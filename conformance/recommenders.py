@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cinelake.operators import catalog, matrix as mx, metrics, pairwise, recommend, similarity, tfidf
 from cinelake.plans import recommendations as plans
+from cinelake.plans import registry
 from cinelake.sources.retail_star import RetailStar
 from conformance import case
 from conformance.star_sql import NOVELTY, TABLES, cosine_sql, tokens_sql, weights_sql, with_tables
@@ -304,25 +305,19 @@ def _wide_sql(name: str) -> str:
     )
 
 
-def _wide(spark, directory, lists_of) -> DataFrame:
-    m = matrix_of(spark, directory)
-    documents = RetailStar(spark, directory).catalog_documents()
-    return recommend.wide_lists(lists_of(m, documents), catalog.build_catalog(documents).drop("Texto"))
-
-
 @case("q11_user_user_recommendations", _wide_sql("lists_u"))
 def q11(spark, directory) -> DataFrame:
-    return _wide(spark, directory, lambda m, documents: plans.user_user(m))
+    return registry.MODELS["user_user_recommendations"](RetailStar(spark, directory))
 
 
 @case("q12_item_item_recommendations", _wide_sql("lists_i"))
 def q12(spark, directory) -> DataFrame:
-    return _wide(spark, directory, lambda m, documents: plans.item_item(m))
+    return registry.MODELS["item_item_recommendations"](RetailStar(spark, directory))
 
 
 @case("q13_text_recommendations", _wide_sql("lists_t"))
 def q13(spark, directory) -> DataFrame:
-    return _wide(spark, directory, plans.by_text)
+    return registry.MODELS["text_recommendations"](RetailStar(spark, directory))
 
 
 def _metrics_sql(name: str) -> str:
@@ -355,7 +350,7 @@ def _comparison_sql() -> str:
 
 @case("q14_method_comparison", _comparison_sql())
 def q14(spark, directory) -> DataFrame:
-    return plans.compare(matrix_of(spark, directory), RetailStar(spark, directory).catalog_documents())
+    return registry.MODELS["method_comparison"](RetailStar(spark, directory))
 
 
 @case(

@@ -356,7 +356,7 @@ def t2(spark, directory) -> DataFrame:
     f"""SELECT DISTINCT {DATE_KEY.format('o_orderdate')} AS "Date Key" FROM orders ORDER BY 1 DESC LIMIT 30""",
 )
 def t3(spark, directory) -> DataFrame:
-    return reports.recent_dates(RetailStar(spark, directory).order_event())
+    return reports.recent_dates(RetailStar(spark, directory).activity())
 
 
 @case("t1_t4_t5_sorted_rows", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cinelake.plans import datasets, marts, reports
+from cinelake.plans import registry
 from cinelake.sources.retail_star import RetailStar
 from conformance import case
 from conformance.star_sql import with_tables
@@ -87,62 +87,6 @@ Q8_TABLES = "subscription cust provider plan"
 Q9_TABLES = "availability content provider"
 
 
-@case("q1_inactive_subscribers", with_tables(Q1_TABLES, Q1))
-def q1(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return reports.inactive_subscribers(s.customer(), s.order_event())
-
-
-@case("q2_content_profitability", with_tables(Q2_TABLES, Q2))
-def q2(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return reports.content_profitability(s.content_event(), s.content())
-
-
-@case("q3_views_by_country_category", with_tables(Q3_TABLES, Q3))
-def q3(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return reports.views_by_country_category(
-        s.event(), s.customer(), s.geography(), s.content_category(), s.category()
-    )
-
-
-@case("q4_top_customer_providers", with_tables(Q4_TABLES, Q4))
-def q4(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return reports.top_customer_providers(s.event(), s.customer(), s.provider())
-
-
-@case("q5_income_by_city", with_tables(Q5_TABLES, Q5))
-def q5(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return reports.income_by_city(s.payment(), s.customer(), s.geography())
-
-
-@case("q6_streaming_mart", with_tables(Q6_TABLES, Q6))
-def q6(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return marts.streaming_mart(s.event(), s.customer(), s.geography(), s.content(), s.provider())
-
-
-@case("q7_payment_mart", with_tables(Q7_TABLES, Q7))
-def q7(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return marts.payment_mart(s.payment(), s.customer(), s.geography(), s.provider(), s.plan())
-
-
-@case("q8_subscription_mart", with_tables(Q8_TABLES, Q8))
-def q8(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return marts.subscription_mart(s.subscription(), s.customer(), s.provider(), s.plan())
-
-
-@case("q9_availability_mart", with_tables(Q9_TABLES, Q9))
-def q9(spark, directory) -> DataFrame:
-    s = RetailStar(spark, directory)
-    return marts.availability_mart(s.availability(), s.content(), s.provider())
-
-
 def _dataset(tables: str, body: str, select: str, distinct: bool = True) -> str:
     return with_tables(tables, f"SELECT {'DISTINCT ' if distinct else ''}{select} FROM ({body})")
 
@@ -165,59 +109,30 @@ D8 = _dataset(Q8_TABLES, Q8, "*")
 D9 = _dataset(Q9_TABLES, Q9, "*")
 
 
-@case("dataset_1_inactive_subscribers", D1)
-def d1(spark, directory) -> DataFrame:
-    return datasets.inactive_subscribers(q1(spark, directory))
-
-
-@case("dataset_2_content_profitability", D2)
-def d2(spark, directory) -> DataFrame:
-    return datasets.content_profitability(q2(spark, directory))
-
-
-@case("dataset_3_views_by_country_category", D3)
-def d3(spark, directory) -> DataFrame:
-    return datasets.views_by_country_category(q3(spark, directory))
-
-
-@case("dataset_4_top_customer_providers", D4)
-def d4(spark, directory) -> DataFrame:
-    return datasets.top_customer_providers(q4(spark, directory))
-
-
-@case("dataset_5_income_by_city", D5)
-def d5(spark, directory) -> DataFrame:
-    return datasets.income_by_city(q5(spark, directory))
-
-
-@case("dataset_6_streaming_mart", D6)
-def d6(spark, directory) -> DataFrame:
-    return datasets.mart(q6(spark, directory))
-
-
-@case("dataset_7_payment_mart", D7)
-def d7(spark, directory) -> DataFrame:
-    return datasets.mart(q7(spark, directory))
+SQLS = {
+    "inactive_subscribers": (Q1_TABLES, Q1, D1),
+    "content_profitability": (Q2_TABLES, Q2, D2),
+    "views_by_country_category": (Q3_TABLES, Q3, D3),
+    "top_customer_providers": (Q4_TABLES, Q4, D4),
+    "income_by_city": (Q5_TABLES, Q5, D5),
+    "streaming_mart": (Q6_TABLES, Q6, D6),
+    "payment_mart": (Q7_TABLES, Q7, D7),
+    "subscription_mart": (Q8_TABLES, Q8, D8),
+    "availability_mart": (Q9_TABLES, Q9, D9),
+}
 
 
-@case("dataset_8_subscription_mart", D8)
-def d8(spark, directory) -> DataFrame:
-    return datasets.mart(q8(spark, directory))
+def _register(number: int, name: str) -> None:
+    tables, sql, dataset_sql = SQLS[name]
 
+    @case(f"q{number}_{name}", with_tables(tables, sql))
+    def query(spark, directory) -> DataFrame:
+        return registry.QUERIES[name](RetailStar(spark, directory))
 
-@case("dataset_9_availability_mart", D9)
-def d9(spark, directory) -> DataFrame:
-    return datasets.mart(q9(spark, directory))
+    @case(f"dataset_{number}_{name}", dataset_sql)
+    def published(spark, directory) -> DataFrame:
+        return registry.dataset(name, RetailStar(spark, directory))
 
 
-DATASETS = {
-    "dataset_1_inactive_subscribers": d1,
-    "dataset_2_content_profitability": d2,
-    "dataset_3_views_by_country_category": d3,
-    "dataset_4_top_customer_providers": d4,
-    "dataset_5_income_by_city": d5,
-    "dataset_6_streaming_mart": d6,
-    "dataset_7_payment_mart": d7,
-    "dataset_8_subscription_mart": d8,
-    "dataset_9_availability_mart": d9,
-}
+for _number, _name in enumerate(registry.QUERIES, start=1):
+    _register(_number, _name)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.operators import segmentation as seg
+from cinelake.plans import registry
 from cinelake.session import materialize
 from cinelake.sources.retail_star import RetailStar
 from conformance import case
@@ -166,7 +167,7 @@ def m8(spark, directory) -> DataFrame:
 
 @case("q10_user_segments")
 def q10(spark, directory) -> DataFrame:
-    return seg.segment_users(RetailStar(spark, directory).viewing())
+    return registry.MODELS["user_segments"](RetailStar(spark, directory))
 
 
 @case("m3_kmeans_quality")

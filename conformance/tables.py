@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from cinelake.functions import scalars as fn
 from cinelake.operators import cleaning
+from cinelake.plans import registry
 from cinelake.session import new_path
 from cinelake.sources import readers, schemas, sinks
 from cinelake.sources.retail_star import RetailStar
 from conformance import case
-from conformance.reports import DATASETS, Q5, Q5_TABLES
+from conformance.reports import Q5, Q5_TABLES, SQLS
 from conformance.star_sql import TABLES, with_tables
 
 
@@ -101,7 +102,7 @@ def s9(spark, directory) -> DataFrame:
       f'"Ingreso_Total_Suscriptores", "Total_Pagos" AS "Total_Pagos_Registrados", "Total_Impuestos", '
       f'"Total_Descuentos" FROM ({Q5})'))
 def s10(spark, directory) -> DataFrame:
-    dataset = DATASETS["dataset_5_income_by_city"](spark, directory)
+    dataset = registry.dataset("income_by_city", RetailStar(spark, directory))
     path = new_path(spark, "income") + ".csv"
     sinks.write_csv(dataset, path)
     return readers.read_table(spark, path, dataset.schema)
@@ -132,20 +133,16 @@ def s12(spark, directory) -> DataFrame:
 
 
 def _datasets_sql() -> str:
-    from conformance import ORACLES
-
-    counts = " UNION ALL ".join(
-        f"""SELECT '{name}' AS "Target", 'written' AS "Status", (SELECT count(*) FROM ({ORACLES[name]})) AS "Rows",
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "Target", 'written' AS "Status", (SELECT count(*) FROM ({SQLS[name][2]})) AS "Rows",
         CAST(NULL AS VARCHAR) AS "Detail\""""
-        for name in DATASETS
+        for name in registry.QUERIES
     )
-    return counts
 
 
 @case("s13_export_datasets", _datasets_sql())
 def s13(spark, directory) -> DataFrame:
-    jobs = {name: (lambda build=build: build(spark, directory)) for name, build in DATASETS.items()}
-    return sinks.export_datasets(spark, jobs, new_path(spark, "datasets"))
+    return registry.generate_datasets(RetailStar(spark, directory), new_path(spark, "datasets"))
 
 
 @case(
