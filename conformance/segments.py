@@ -43,8 +43,8 @@ def m1_streams(spark, directory) -> DataFrame:
 
 _FEATURES = """
     WITH assigned AS (
-      SELECT o_custkey AS k, n_regionkey AS c, count(*) AS total_eventos, sum(o_totalprice) AS total_minutos,
-             avg(o_totalprice) AS promedio_minutos
+      SELECT o_custkey AS k, n_regionkey AS c, count(*) AS total_eventos,
+             CAST(sum(floor(o_totalprice)) AS BIGINT) AS total_minutos, avg(floor(o_totalprice)) AS promedio_minutos
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2),
     z AS (
       SELECT k, c, (total_eventos - avg(total_eventos) OVER ()) / stddev_pop(total_eventos) OVER () AS z1,
@@ -69,7 +69,7 @@ def by_region(spark, directory) -> DataFrame:
     """Order features per customer with the customer's region as cluster."""
     star = RetailStar(spark, directory)
     orders = star.raw("orders").select(
-        F.col("o_custkey").alias("customer_key"), F.col("o_totalprice").alias("minutes_watched")
+        F.col("o_custkey").alias("customer_key"), F.floor("o_totalprice").alias("minutes_watched")
     )
     regions = star.raw("customer").join(star.raw("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("Customer_Key"), F.col("n_regionkey").alias("Cluster")
@@ -84,29 +84,23 @@ def m4(spark, directory) -> DataFrame:
 
 @case(
     "m4_labelled_users",
-    _FEATURES + """SELECT k AS "Customer_Key", total_eventos, round(total_minutos, 2) AS total_minutos,
+    _FEATURES + """SELECT k AS "Customer_Key", total_eventos, total_minutos,
     round(promedio_minutos, 6) AS promedio_minutos, assigned.c AS "Cluster", label AS "Cluster_Etiqueta"
     FROM assigned JOIN labels ON labels.c = assigned.c""",
 )
 def m4_users(spark, directory) -> DataFrame:
     users = seg.label_users(by_region(spark, directory))
-    return users.withColumns({"total_minutos": F.round("total_minutos", 2), "promedio_minutos": F.round("promedio_minutos", 6)})
+    return users.withColumn("promedio_minutos", F.round("promedio_minutos", 6))
 
 
 @case(
     "m5_a7_t6_centroids",
-    _FEATURES + """SELECT c AS "Cluster", n AS "Usuarios", round(e, 6) AS total_eventos, round(m, 4) AS total_minutos,
-    round(p, 4) AS promedio_minutos FROM means""",
+    _FEATURES + """SELECT c AS "Cluster", n AS "Usuarios", round(e, 6) AS total_eventos, round(m, 6) AS total_minutos,
+    round(p, 6) AS promedio_minutos FROM means""",
 )
 def m5(spark, directory) -> DataFrame:
     means = seg.cluster_means(by_region(spark, directory))
-    return means.withColumns(
-        {
-            "total_eventos": F.round("total_eventos", 6),
-            "total_minutos": F.round("total_minutos", 4),
-            "promedio_minutos": F.round("promedio_minutos", 4),
-        }
-    ).orderBy("total_eventos")
+    return means.withColumns({f: F.round(f, 6) for f in seg.FEATURES}).orderBy("total_eventos")
 
 
 @case(
@@ -152,17 +146,14 @@ def m7(spark, directory) -> DataFrame:
 @case(
     "m8_w4_segment_profile",
     _FEATURES + """SELECT means.c AS "Cluster", n AS "Usuarios", label AS "Cluster_Etiqueta", round(e, 6) AS total_eventos,
-    round(m, 4) AS total_minutos, round(p, 4) AS promedio_minutos, round(n / sum(n) OVER () * 100, 6) AS "Porcentaje",
+    round(m, 6) AS total_minutos, round(p, 6) AS promedio_minutos, round(n / sum(n) OVER () * 100, 6) AS "Porcentaje",
     round((e - avg(e) OVER ()) / stddev_pop(e) OVER (), 6) AS z_total_eventos,
     round((m - avg(m) OVER ()) / stddev_pop(m) OVER (), 6) AS z_total_minutos,
     round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 6) AS z_promedio_minutos
     FROM means JOIN labels ON labels.c = means.c""",
 )
 def m8(spark, directory) -> DataFrame:
-    profile = seg.segment_profile(by_region(spark, directory))
-    return profile.withColumns(
-        {"total_minutos": F.round("total_minutos", 4), "promedio_minutos": F.round("promedio_minutos", 4)}
-    )
+    return seg.segment_profile(by_region(spark, directory))
 
 
 @case("q10_user_segments")
