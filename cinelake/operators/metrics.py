@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.functions.scalars import default_title, ratio_or_zero, shorten
-from cinelake.operators.matrix import DIGITS, Matrix, popularity
+from cinelake.operators.matrix import DIGITS, Matrix
+from cinelake.operators.recommend import popular_contents
 
 TOP_ITEMS = 10
 SAMPLE_SIDE = 20
@@ -83,8 +84,7 @@ def top_recommended(lists: DataFrame, titles: DataFrame, n: int = TOP_ITEMS, wid
 def popular_submatrix(pairs: DataFrame, matrix: Matrix, side: int = SAMPLE_SIDE) -> DataFrame:
     """Similarity among the most popular contents, the diagonal left out. The pool
     has ``side`` rows, so both semi-joins are against a bounded table."""
-    top = popularity(matrix).orderBy(F.desc("Popularity"), "Content_Key").limit(side)
-    keys = F.broadcast(top.select("Content_Key"))
+    keys = F.broadcast(popular_contents(matrix, side).select("Content_Key"))
     return pairs.join(keys, pairs["a"] == keys["Content_Key"], "left_semi").join(
         keys, F.col("b") == keys["Content_Key"], "left_semi"
     )

@@ -79,26 +79,35 @@ def similar_users(matrix: Matrix, k: int = SIMILAR_USERS) -> DataFrame:
     )
 
 
-def _with_own_minutes(scored: DataFrame, matrix: Matrix) -> DataFrame:
+def _scored(base: DataFrame) -> DataFrame:
     """Apply the novelty factor for the minutes the user already spent on the content."""
-    own = matrix.cells.withColumnRenamed("Minutes", "Own_Minutes")
-    joined = scored.join(own, ["Customer_Key", "Content_Key"], "left").na.fill(0.0, ["Own_Minutes"])
-    return joined.select(
+    own = F.coalesce("_own", F.lit(0.0))
+    return base.select(
         "Customer_Key",
         "Content_Key",
-        F.round(F.col("Base") * novelty_factor(F.col("Own_Minutes")), DIGITS).alias("Score"),
-        "Own_Minutes",
+        F.round(F.col("_weighted") / F.col("_weight") * novelty_factor(own), DIGITS).alias("Score"),
+        own.alias("Own_Minutes"),
     )
 
 
+_NOTHING = "CAST(NULL AS DOUBLE) AS similarity"
+
+
+def _own_minutes() -> Column:
+    return F.max(F.when(F.col("similarity").isNull(), F.col("Minutes"))).alias("_own")
+
+
 def score_by_users(matrix: Matrix, neighbours: DataFrame) -> DataFrame:
     """Similarity-weighted mean minutes of the similar users who saw a content.
 
     Only users with 50 minutes or more get scores, and only contents that three
-    or more of their similar users saw.
+    or more of their similar users saw. Each user also stands among the similar
+    ones, without a similarity: that row brings along the own minutes, which
+    would otherwise take a second join of all scores with the matrix.
     """
     active = user_totals(matrix).filter(F.col("Total_Minutes") >= MIN_USER_MINUTES)
-    asked = neighbours.join(active, neighbours["row"] == active["Customer_Key"], "left_semi")
+    selves = active.selectExpr("Customer_Key AS row", "Customer_Key AS other", _NOTHING)
+    asked = neighbours.join(active, neighbours["row"] == active["Customer_Key"], "left_semi").unionByName(selves)
     viewed = matrix.seen.withColumnRenamed("Customer_Key", "other")
     tasks = task_count(matrix.cells.sparkSession, matrix.users * SIMILAR_USERS, CELLS_PER_TASK)
     votes = (
@@ -106,14 +115,13 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame) -> DataFrame:
         .join(broadcast_if_small(viewed, matrix.cell_count), "other")
         .groupBy(F.col("row").alias("Customer_Key"), "Content_Key")
         .agg(
-            F.count("*").alias("_viewers"),
+            F.count("similarity").alias("_viewers"),
             F.sum("similarity").alias("_weight"),
             F.sum(F.col("similarity") * F.col("Minutes")).alias("_weighted"),
+            _own_minutes(),
         )
-        .filter((F.col("_viewers") >= MIN_VIEWERS) & (F.col("_weight") > 0))
     )
-    base = votes.select("Customer_Key", "Content_Key", (F.col("_weighted") / F.col("_weight")).alias("Base"))
-    return _with_own_minutes(base, matrix)
+    return _scored(votes.filter((F.col("_viewers") >= MIN_VIEWERS) & (F.col("_weight") > 0)))
 
 
 def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) -> DataFrame:
@@ -122,28 +130,41 @@ def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) ->
 
     The cells are spread by user before they meet the similarities. When those
     are small enough to broadcast, the ranking and the sums per user and
-    candidate need no further shuffle.
+    candidate need no further shuffle. A content is also listed next to itself,
+    without a similarity, which brings along the user's own minutes; that row
+    ranks first and makes room for one more.
     """
-    near = materialize(both_ways(pairs.filter(F.col("similarity") > 0)), "near")
+    positive = both_ways(pairs.filter(F.col("similarity") > 0))
+    selves = positive.select("item").distinct().selectExpr("item", "item AS other", _NOTHING)
+    near = materialize(positive.unionByName(selves), "near")
     tasks = task_count(matrix.cells.sparkSession, matrix.cell_count, CELLS_PER_TASK)
     offers = (
         matrix.seen.repartition(tasks, "Customer_Key")
         .join(broadcast_if_small(near, near.count()), F.col("Content_Key") == F.col("item"))
         .select("Customer_Key", F.col("other").alias("Content_Key"), "item", "similarity", "Minutes")
     )
-    best = W.partitionBy("Customer_Key", "Content_Key").orderBy(F.desc("similarity"), "item")
+    best = W.partitionBy("Customer_Key", "Content_Key").orderBy(F.desc_nulls_first("similarity"), "item")
+    allowed = F.when(F.first(F.col("similarity").isNull()).over(best), k + 1).otherwise(k)
     base = (
-        offers.withColumn("_rank", F.row_number().over(best))
-        .filter(F.col("_rank") <= k)
+        offers.withColumns({"_rank": F.row_number().over(best), "_allowed": allowed})
+        .filter((F.col("_rank") <= k + 1) & (F.col("_rank") <= F.col("_allowed")))
         .groupBy("Customer_Key", "Content_Key")
-        .agg((F.sum(F.col("similarity") * F.col("Minutes")) / F.sum("similarity")).alias("Base"))
+        .agg(
+            F.sum("similarity").alias("_weight"),
+            F.sum(F.col("similarity") * F.col("Minutes")).alias("_weighted"),
+            _own_minutes(),
+        )
     )
-    return _with_own_minutes(base, matrix)
+    return _scored(base.filter(F.col("_weight") > 0))
+
+
+def popular_contents(matrix: Matrix, size: int = POOL_SIZE) -> DataFrame:
+    return popularity(matrix).orderBy(F.desc("Popularity"), "Content_Key").limit(size)
 
 
 def popular_pool(matrix: Matrix, size: int = POOL_SIZE) -> DataFrame:
     """The most popular contents in order, as one array of (down, Content_Key)."""
-    top = popularity(matrix).orderBy(F.desc("Popularity"), "Content_Key").limit(size)
+    top = popular_contents(matrix, size)
     entry = F.struct((-F.col("Popularity")).alias("down"), "Content_Key")
     return top.agg(F.array_sort(F.collect_list(entry)).alias("_pool"))
 
@@ -179,20 +200,22 @@ def top_lists(scored: DataFrame, matrix: Matrix, size: int = LIST_SIZE, pool_siz
             ).alias("_scored")
         )
     )
-    pool = popular_pool(matrix, pool_size)
-    in_pool = F.array_contains(F.transform("_pool", lambda p: p["Content_Key"]), F.col("Content_Key"))
-    users = (
-        matrix.cells.withColumn("_pool", pool.scalar())
-        .groupBy("Customer_Key")
-        .agg(
-            F.map_from_entries(
-                F.collect_list(F.when(in_pool, F.struct("Content_Key", "Minutes")))
-            ).alias("_own")
-        )
-        .withColumn("_pool", pool.scalar())
+    users = matrix.cells.select("Customer_Key").distinct()
+    popular = F.broadcast(popular_contents(matrix, pool_size).select("Content_Key"))
+    own_popular = (
+        matrix.cells.join(popular, "Content_Key", "left_semi")
+        .groupBy(F.col("Customer_Key").alias("_owner"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("Content_Key", "Minutes"))).alias("_own"))
     )
-    joined = users.join(lists, users["Customer_Key"] == lists["_user"], "left").withColumn(
-        "_scored", F.coalesce("_scored", F.array().cast(_ENTRY_ARRAY))
+    joined = (
+        users.join(lists, users["Customer_Key"] == lists["_user"], "left")
+        .join(own_popular, users["Customer_Key"] == own_popular["_owner"], "left")
+        .withColumns(
+            {
+                "_scored": F.coalesce("_scored", F.array().cast(_ENTRY_ARRAY)),
+                "_pool": popular_pool(matrix, pool_size).scalar(),
+            }
+        )
     )
     fresh = F.filter(
         "_pool",

@@ -58,8 +58,9 @@ def cores(spark: SparkSession) -> int:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Redistribute the rows by ``keys`` when the files yield fewer splits than there are cores.
 
-    For work that is heavy per row (text, wide rows) on an input of few files. A
-    table of many splits is left as it is.
+    For scans whose rows are costly to work on (text, wide rows). A table of many
+    splits is left as it is. Not for joined or grouped tables: counting their
+    partitions would run them.
     """
     wanted = cores(df.sparkSession)
     if df.rdd.getNumPartitions() >= wanted:

@@ -180,6 +180,9 @@ class RetailStar:
             F.col("value").alias("Minutes Watched"),
         )
 
+    def documents(self) -> DataFrame:
+        return spread(self.raw("documents"), "doc_id")
+
     def catalog_documents(self) -> DataFrame:
         """Contents with the nested fields the text recommender reads."""
         return self.raw("part").select(

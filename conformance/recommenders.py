@@ -431,7 +431,7 @@ TABLES["vocabulary_d"] = """
     "WITH tokens_d AS (" + TABLES["tokens_d"] + ') SELECT d AS "row", term, count(*) AS tf FROM tokens_d GROUP BY 1, 2',
 )
 def f11(spark, directory) -> DataFrame:
-    return tfidf.term_counts(RetailStar(spark, directory).raw("documents"), "doc_id", "text")
+    return tfidf.term_counts(RetailStar(spark, directory).documents(), "doc_id", "text")
 
 
 @case(
@@ -439,7 +439,7 @@ def f11(spark, directory) -> DataFrame:
     "WITH tokens_d AS (" + TABLES["tokens_d"] + ") " + TABLES["vocabulary_d"],
 )
 def m15_vocabulary(spark, directory) -> DataFrame:
-    documents = RetailStar(spark, directory).raw("documents")
+    documents = RetailStar(spark, directory).documents()
     return tfidf.vocabulary(tfidf.term_counts(documents, "doc_id", "text")).drop("feature")
 
 
@@ -449,7 +449,7 @@ def m15_vocabulary(spark, directory) -> DataFrame:
     + ') SELECT d AS "row", term, round(x, 6) AS "value" FROM weights_d',
 )
 def m15(spark, directory) -> DataFrame:
-    documents = RetailStar(spark, directory).raw("documents")
+    documents = RetailStar(spark, directory).documents()
     weighted, _ = plans.text_weights(documents, "doc_id", "text", documents.count())
     return weighted.select("row", "term", F.round("value", 6).alias("value"))
 
@@ -462,7 +462,7 @@ def m15(spark, directory) -> DataFrame:
 )
 def m16_documents(spark, directory) -> DataFrame:
     """The 15 documents most similar to each document, over all words of all texts."""
-    documents = RetailStar(spark, directory).raw("documents")
+    documents = RetailStar(spark, directory).documents()
     rows = documents.count()
     units, size = plans.text_weights(documents, "doc_id", "text", rows)
     return pairwise.top_positive(units, rows, size, recommend.SIMILAR_ITEMS)
