@@ -8,9 +8,12 @@ small node are compared with each other: pairs whose sketches agree as often as
 similar ones do (five deviations of slack) are confirmed on their full shingle sets.
 
 A node that is still large at the last level holds copies that minwise tokens hardly
-part. Its classes are all compared with one of them (the star), and those in another
-component than most of the node are compared with the whole node in blocks. So what is
-compared grows with the node's size, no link inside it is lost, and no task sees it whole.
+part. Its classes are compared with one of them, the centre of a star, and those left in
+another component than most of the node are compared with the whole node in blocks. So
+no task sees a large node whole.
+
+Links are confirmed in two steps, as only components are asked for: first one candidate
+of each class, then every candidate whose ends are still in different components.
 
 A pair at the threshold s is missed with about (1 - s(1-(1-s)^2)^(levels-1))^trees at
 most: under 1e-5 for 0.8 and ten trees.
@@ -34,7 +37,7 @@ from cinelake.llm.common import WordHashes, mixed, texts_of, windows
 from cinelake.llm.components import components
 from cinelake.session import materialize
 
-SKETCH, SMALL, TREES, LEVELS = 64, 48, 10, 3
+SKETCH, SMALL, TREES, LEVELS, STARS = 64, 48, 10, 2, 2
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
@@ -75,19 +78,6 @@ def _profiles(width: int):
     return run
 
 
-def _sets(width: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(t, width, known) for t in texts_of(batch.column("text"))]
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["key", "shingles"]
-            )
-
-    return run
-
-
 def _token(sketch: Column, at: Column) -> Column:
     """The sketch's token number ``at`` (four bytes each), as a binary."""
     return F.substring(sketch, at * 4 + 1, F.lit(4))
@@ -142,22 +132,21 @@ def _strangers(least: int):
     return run
 
 
-def _confirm(numerator: int, denominator: int):
-    """Pairs linked by their full sets. Rows: key, its own set (pair key NULL) first, then partners' sets."""
+def _confirm(width: int, numerator: int, denominator: int):
+    """Pairs linked by their full sets. Rows: key, its own text (partner NULL) first, then partners' texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
         own: tuple[bytes, np.ndarray] = (b"", np.empty(0, np.uint64))
         for batch in batches:
             out = []
-            for a, b, shingles in zip(*(c.to_pylist() for c in batch.columns)):
-                values = np.frombuffer(shingles, np.uint64)
+            columns = [batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2))]
+            for a, b, text in zip(*columns):
+                values = shingle_set(text, width, known)
                 if b is None:
                     own = (a, values)
                 elif own[0] == a:
-                    small, large = (own[1], values) if len(own[1]) <= len(values) else (values, own[1])
-                    at = np.searchsorted(large, small)
-                    at[at == len(large)] = 0
-                    common = int((large[at] == small).sum())
+                    common = len(np.intersect1d(own[1], values, assume_unique=True))
                     if denominator * common >= numerator * (len(own[1]) + len(values) - common):
                         out.append((a, b))
             yield _pair_batch(out)
@@ -201,69 +190,93 @@ class _Join:
             )
         return pairs.distinct(), materialize(rows, "large-nodes")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``pairs`` (a, b) whose full sets are similar. ``a``'s set is held while
-        the sets of its partners ``b`` pass, so a pair moves one set."""
-        pairs = materialize(pairs, "candidates")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        chosen = self.texts.join(self.classes.join(wanted, "key").select("key", "row_id", "at"), ["row_id", "at"])
-        chosen = chosen.dropDuplicates(["row_id", "at"])
-        sets = materialize(chosen.select("text").mapInArrow(_sets(self.width), "key binary, shingles binary"), "sets")
-        own = sets.join(pairs.select(F.col("a").alias("key")).distinct(), "key")
-        moved = pairs.join(sets.select(F.col("key").alias("b"), "shingles"), "b").select("a", "b", "shingles")
-        dealt = own.select(F.col("key").alias("a"), F.lit(None).cast("binary").alias("b"), "shingles").unionByName(moved)
+    def fetch(self, keys: DataFrame) -> DataFrame:
+        """(key, text) of one document of each class in ``keys``."""
+        wanted = self.classes.join(keys, "key").select("key", "row_id", "at")
+        return materialize(
+            self.texts.join(wanted, ["row_id", "at"]).dropDuplicates(["row_id", "at"]).select("key", "text"), "texts"
+        )
+
+    def confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b) whose full sets are similar. The set of ``a`` is held
+        while the texts of its partners ``b`` pass, so a pair moves one text."""
+        own = texts.join(pairs.select(F.col("a").alias("key")).distinct(), "key")
+        moved = pairs.join(texts.withColumnRenamed("key", "b"), "b").select("a", "b", "text")
+        dealt = own.select(F.col("key").alias("a"), F.lit(None).cast("binary").alias("b"), "text").unionByName(moved)
         return materialize(
             dealt.repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
-            .mapInArrow(_confirm(*self.share), "a binary, b binary"),
+            .mapInArrow(_confirm(self.width, *self.share), "a binary, b binary"),
             "links",
         )
 
-    def links(self) -> DataFrame:
-        """All links, each once, as (a, b) with a < b."""
-        found = self._links()
-        return materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "all-links")
-
-    def _links(self) -> DataFrame:
-        pairs, large = self.paths()
-        star = None
-        if not large.isEmpty():
-            centre = large.groupBy("node").agg(F.min("key").alias("centre"))
-            # the centre is shared by many: it is the set that moves, each member holds its own
-            star = large.join(centre, "node").where("key <> centre").select(F.col("key").alias("a"), F.col("centre").alias("b"))
-            pairs = pairs.unionByName(star).distinct()
-        links = self.confirmed(pairs)
-        if star is None:
-            return links
-        roots = components(links, "copies")
-        members = materialize(
-            large.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")),
-            "members",
-        )
-        most = members.groupBy("node", "root").count().groupBy("node").agg(F.max(F.struct("count", "root"))["root"].alias("most"))
-        strangers = members.join(most, "node").where("root <> most").select("node", "key", "root")
+    def rooted(self, links: DataFrame, keys: DataFrame) -> DataFrame:
+        """``keys`` with the component each is in so far."""
+        roots = components(links, "copies").withColumnRenamed("node", "key")
+        return keys.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+    @staticmethod
+    def strangers(members: DataFrame) -> DataFrame:
+        """Rows (node, key, root) in another component than the largest of their node."""
+        sizes = members.groupBy("node", "root").count()
+        most = sizes.groupBy("node").agg(F.max(F.struct("count", "root"))["root"].alias("most"))
+        return members.join(materialize(most, "most"), "node").where("root <> most").select("node", "key", "root")
+
+    def blocks(self, members: DataFrame, strangers: DataFrame) -> DataFrame:
+        """Candidates of each stranger in its whole node, strangers taken 32 at a time."""
+        briefs = self.classes.select("key", "brief")
         counts = strangers.groupBy("node").agg(F.ceil(F.count("*") / 32).alias("blocks"))
-        blocks = (
-            strangers.join(counts, "node").join(self.classes.select("key", "brief"), "key")
+        others = materialize(
+            strangers.join(counts, "node").join(briefs, "key")
             .groupBy("node", F.pmod(F.xxhash64("key"), "blocks").alias("block"))
-            .agg(F.collect_list(F.struct("key", "root", "brief")).alias("others"))
+            .agg(F.collect_list(F.struct("key", "root", "brief")).alias("others")),
+            "strangers",
         )
-        blocks = materialize(blocks, "strangers")
-        if blocks.isEmpty():
-            return links
-        compared = members.join(blocks.select("node", "others"), "node").join(self.classes.select("key", "brief"), "key")
-        found = compared.select("key", "root", "brief", "others").mapInArrow(_strangers(self.least), "a binary, b binary")
-        known = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return links.unionByName(self.confirmed(found.distinct().join(known, ["a", "b"], "left_anti")))
+        compared = members.join(others.select("node", "others"), "node").join(briefs, "key")
+        return compared.select("key", "root", "brief", "others").mapInArrow(_strangers(self.least), "a binary, b binary")
+
+    def links(self) -> DataFrame:
+        """Links (a, b) that join every class to its component."""
+        pairs, large = self.paths()
+        pairs = materialize(pairs, "candidates")
+        texts = self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(large.select("key")).distinct())
+        ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        centre = materialize(large.groupBy("node").agg(F.min("key").alias("b")), "centres")
+        star = large.join(centre, "node").select(F.col("key").alias("a"), "b").where("a <> b")
+        first = ends.unionByName(star).groupBy("a").agg(F.min("b").alias("b"))
+        # of two classes that chose each other one row is enough
+        first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        tried = materialize(first, "first")
+        links = self.confirmed(tried, texts)
+        members = materialize(self.rooted(links, large), "members")
+        for _ in range(STARS - 1):
+            odd = self.strangers(members)
+            centre = materialize(odd.groupBy("node").agg(F.min(F.struct("key", "root")).alias("c")), "centres")
+            if centre.isEmpty():
+                break
+            star = members.join(centre, "node").where("root <> c.root").groupBy(F.col("key").alias("a")).agg(F.min("c.key").alias("b"))
+            star = materialize(star, "star")
+            links = links.unionByName(self.confirmed(star, texts))
+            tried = tried.unionByName(star)
+            members = materialize(self.rooted(links, large), "members")
+        odd = materialize(self.strangers(members), "odd")
+        if not odd.isEmpty():
+            pairs = pairs.unionByName(self.blocks(members, odd)).distinct()
+        known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        apart = pairs.join(known, ["a", "b"], "left_anti")
+        roots = components(links, "copies")
+        for end in ("a", "b"):
+            apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
+        apart = apart.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+        return materialize(links.unionByName(self.confirmed(materialize(apart, "apart"), texts)), "all-links")
 
 
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", width: int = 5, share: tuple[int, int] = (80, 100), trees: int = TREES
 ) -> DataFrame:
-    """Every row of ``docs`` as (id, n_shingles, n_links, component_id, kept).
+    """Every row of ``docs`` as (id, n_shingles, component_id, kept).
 
     Documents are linked when the intersection of their shingle sets is at least
-    ``share`` of the union. ``n_links`` counts the linked classes with other sets, and
-    ``component_id`` is the least id reachable. A document whose id is its component's
+    ``share`` of the union. ``component_id`` is the least id reachable. A document whose id is its component's
     is kept; of repeated rows all are. A row with NULL id
     joins the component of its text and goes; without a row with id that has its shingles
     it has no component (NULL) and stays.
@@ -290,13 +303,11 @@ def near_duplicates(
     )
     of_root = materialize(least, "roots")
     names = of_root.groupBy("root").agg(F.min("row_id").alias("component_id"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
-    of_class = materialize(of_root.join(names, "root").join(degree, "key", "left").select("key", "component_id", "n_links"), "named")
+    of_class = materialize(of_root.join(names, "root").select("key", "component_id"), "named")
     return (
         profiles.select("row_id", "n_shingles", "key").join(of_class, "key", "left")
         .select(
-            F.col("row_id").alias(id_column), "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-            F.coalesce("component_id", "row_id").alias("component_id"),
+            F.col("row_id").alias(id_column), "n_shingles", F.coalesce("component_id", "row_id").alias("component_id"),
         )
         .withColumn("kept", F.col("component_id").isNull() | F.coalesce(F.col(id_column) == F.col("component_id"), F.lit(False)))
     )
