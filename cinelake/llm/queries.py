@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, language, near_duplicates, packing
+from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, packing
 from cinelake.llm.common import documents, remainder
 from cinelake.llm.registry import ORACLES, QUERIES, query
 from cinelake.sources.readers import read_table
@@ -66,6 +66,11 @@ FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@query("op1_line_dedup")
+def lines(spark: SparkSession, directory: str) -> DataFrame:
+    return line_dedup.report(documents(spark, directory))
+
+
 @query("op5_minhash_near_duplicates", NEAR_SQL)
 def near(spark: SparkSession, directory: str) -> DataFrame:
     found = near_duplicates.near_duplicates(documents(spark, directory), width=3, share=(85, 100))
