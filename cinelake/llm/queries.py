@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, packing
+from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, packing, sharding
 from cinelake.llm.common import documents, remainder
 from cinelake.llm.registry import ORACLES, QUERIES, query
 from cinelake.sources.readers import read_table
@@ -71,6 +72,15 @@ def lines(spark: SparkSession, directory: str) -> DataFrame:
     return line_dedup.report(documents(spark, directory))
 
 
+@query("op2_balanced_sharding")
+def shards(spark: SparkSession, directory: str) -> DataFrame:
+    placed = sharding.shard_documents(documents(spark, directory))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op5_minhash_near_duplicates", NEAR_SQL)
 def near(spark: SparkSession, directory: str) -> DataFrame:
     found = near_duplicates.near_duplicates(documents(spark, directory), width=3, share=(85, 100))
@@ -96,3 +106,8 @@ def packed(spark: SparkSession, directory: str) -> DataFrame:
 
     pieces = packing.tokenize(documents(spark, directory), path("word_bpe_49k.json"))
     return packing.pack(pieces)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, directory: str) -> DataFrame:
+    return corpus_pipeline.run(spark, directory)
