@@ -6,9 +6,10 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, packing, sharding
+from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, packing, quality, secrets, sharding, toxicity
 from cinelake.llm.common import documents, remainder
 from cinelake.llm.registry import ORACLES, QUERIES, query
+from cinelake.session import new_path
 from cinelake.sources.readers import read_table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -81,6 +82,11 @@ def shards(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+@query("op3_secret_scans")
+def found_secrets(spark: SparkSession, directory: str) -> DataFrame:
+    return secrets.digest(secrets.scan(documents(spark, directory), new_path(spark, "ledger")))
+
+
 @query("op5_minhash_near_duplicates", NEAR_SQL)
 def near(spark: SparkSession, directory: str) -> DataFrame:
     found = near_duplicates.near_duplicates(documents(spark, directory), width=3, share=(85, 100))
@@ -93,6 +99,21 @@ def contamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontaminate.scan(documents(spark, directory), benchmark, ["doc_id"])
 
 
+@query("op7_toxicity")
+def toxic(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory)
+    labels = read_table(spark, f"{directory}/labels.parquet").where(remainder(F.col("doc_id"), 3) != 1)
+    machine = toxicity.train(docs, labels.withColumnRenamed("toxic", "label"))
+    held = docs.withColumn("held_out", remainder(F.col("doc_id"), 3) == 1)
+    scored = toxicity.score(held, machine, ["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op8_quality_rules")
+def good(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.judge(documents(spark, directory))
+
+
 @query("op9_language_profiles")
 def languages(spark: SparkSession, directory: str) -> DataFrame:
     docs = documents(spark, directory).withColumn("held_out", remainder(F.col("doc_id"), 4) == 2)
