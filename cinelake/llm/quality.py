@@ -3,7 +3,7 @@
 Each rule votes good, bad or nothing on a text. How often a rule votes what, given that
 a text is good or bad, is estimated by expectation-maximisation over the counts of vote
 patterns of all documents (at most 3 to the number of rules), starting from the
-majority. A text is kept when the posterior probability of good is at least a half.
+number of bad votes. A text is kept when the posterior probability of good is at least a half.
 
 NULL and empty texts have no words, and fail the base rule. Repeated rows count each.
 """
@@ -23,10 +23,14 @@ from cinelake.session import materialize
 
 WINDOW = 8
 ABSTAIN, BAD, GOOD = 0, 1, 2
-RULES = ("length", "word_length", "symbols", "duplicate_lines", "repeated_words", "sentence_ends", "letters", "variety")
+RULES = (
+    "length", "word_length", "symbols", "duplicate_lines", "repeated_words", "sentence_ends", "letters", "variety",
+    "marked_words", "capitals", "stutter",
+)
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _SYMBOLS = b"#*$%&|<>"
 _KEEP_SYMBOLS = bytes(b for b in range(256) if b not in _SYMBOLS)
+_KEEP_CAPITALS = bytes(b for b in range(256) if not 65 <= b <= 90)
 _LATER_BYTES = bytes(range(0x80, 0xC0))
 _BLANKS = b" \t\n\x0b\x0c\r"
 
@@ -63,6 +67,9 @@ def votes(text: bytes | None, found: tuple) -> list[int]:
     ends = sum(w[-1:] in (b".", b"!", b"?", b":") for w in words) / count
     lettered = sum(w[:1].isalpha() or w[0] >= 0x80 for w in words) / count
     variety = len(set(words)) / count
+    marked = sum(len(w) != len(w.translate(None, _SYMBOLS)) for w in words) / count if symbols else 0.0
+    capitals = len(text.translate(None, _KEEP_CAPITALS)) / chars
+    stutter = sum(a == b for a, b in zip(words, words[1:])) / count
     return [
         _vote(count, count < 20, count >= 50),
         _vote(mean, mean < 2.5 or mean > 12, 3 <= mean <= 9),
@@ -72,6 +79,9 @@ def votes(text: bytes | None, found: tuple) -> list[int]:
         _vote(ends, ends < 0.01 or ends > 0.5, 0.02 <= ends <= 0.3),
         _vote(lettered, lettered < 0.7, lettered > 0.9),
         _vote(variety, variety < 0.2, variety > 0.35),
+        _vote(marked, marked > 0.2, marked < 0.02),
+        _vote(capitals, capitals > 0.3, capitals < 0.1),
+        _vote(stutter, stutter > 0.2, stutter < 0.05),
     ]
 
 
@@ -98,8 +108,8 @@ def estimate(patterns: Counter[int], rules: int = len(RULES), turns: int = 100)
         return {}, np.full((2, rules, 3), 1 / 3), 0.5
     cast = np.array([[k // 3**i % 3 for i in range(rules)] for k in keys])
     weight = np.array([patterns[k] for k in keys], float)
-    lead = (cast == GOOD).sum(1) - 2 * (cast == BAD).sum(1)  # most rules find most texts good: a bad vote says more
-    good = 1 / (1 + np.exp(-lead.astype(float)))
+    # rules call bad what is far from usual, so one such vote casts doubt and two outweigh the rest
+    good = np.choose(np.minimum((cast == BAD).sum(1), 2), [0.95, 0.5, 0.05])
     one_hot = cast[:, :, None] == np.arange(3)
     for _ in range(turns):
         last = good

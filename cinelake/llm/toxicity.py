@@ -2,7 +2,9 @@
 
 Terms are the distinct words of a text and their first four and five letters, hashed.
 A term has a weight and a short vector; the score adds the weights and the products of
-all pairs of vectors, so that two terms can say together what neither says alone.
+all pairs of vectors, so that two terms can say together what neither says alone. Terms
+whose share of toxic rows lies within ``LEAST_DEVIATIONS`` standard deviations of the
+base rate weigh nothing, or a long clean text would drown what it holds.
 
 The machine is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of their id
 (a documented bound); every document is scored. NULL labels teach nothing, and a
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from cinelake.llm.common import WordHashes, arrow_rows, texts_of
 
 BITS, RANK, SAMPLE = 18, 4, 20_000
-LEAST_DOCUMENTS = 5
+LEAST_DEVIATIONS = 4.0
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -61,11 +63,14 @@ class Machine:
 
     def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 6, batch: int = 256) -> "Machine":
         rng = np.random.default_rng(7)
-        seen = np.bincount(np.concatenate(rows), minlength=1 << self.bits) if rows else np.zeros(1 << self.bits)
-        rows = [r[seen[r] >= LEAST_DOCUMENTS] for r in rows]
+        terms, lengths = np.concatenate(rows), np.array([len(r) for r in rows])
+        seen = np.bincount(terms, minlength=1 << self.bits)
+        toxic = np.bincount(terms, np.repeat(labels, lengths), minlength=1 << self.bits)
         rate = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
+        telling = np.abs(toxic - rate * seen) > LEAST_DEVIATIONS * np.sqrt(rate * (1 - rate) * np.maximum(seen, 1))
+        rows = [r[telling[r]] for r in rows]
         self.bias = float(np.log(rate / (1 - rate)))
-        self.vectors[seen >= LEAST_DOCUMENTS] = rng.normal(0, 0.01, (int((seen >= LEAST_DOCUMENTS).sum()), self.vectors.shape[1]))
+        self.vectors[telling] = rng.normal(0, 0.01, (int(telling.sum()), self.vectors.shape[1]))
         squares_w, squares_v = np.full(len(self.weights), 1e-6, np.float32), np.full(self.vectors.shape, 1e-6, np.float32)
         for _ in range(epochs):
             order = rng.permutation(len(rows))
