@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, packing, quality, secrets, sharding, toxicity
+from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, ngram_model, packing, quality, secrets, sharding, toxicity
 from cinelake.llm.common import documents, remainder
 from cinelake.llm.registry import ORACLES, QUERIES, query
 from cinelake.session import new_path
@@ -87,6 +87,14 @@ def found_secrets(spark: SparkSession, directory: str) -> DataFrame:
     return secrets.digest(secrets.scan(documents(spark, directory), new_path(spark, "ledger")))
 
 
+@query("op4_ngram_scoring")
+def scored(spark: SparkSession, directory: str) -> DataFrame:
+    docs = documents(spark, directory).withColumn("held_out", remainder(F.col("doc_id"), 7) == 2)
+    model = ngram_model.train(docs.where("NOT held_out"))
+    found = ngram_model.score(docs, model, ["doc_id", "held_out"])
+    return found.withColumn("train_tokens", F.lit(model.train_tokens).cast("long"))
+
+
 @query("op5_minhash_near_duplicates", NEAR_SQL)
 def near(spark: SparkSession, directory: str) -> DataFrame:
     found = near_duplicates.near_duplicates(documents(spark, directory), width=3, share=(85, 100))
