@@ -25,7 +25,7 @@ from cinelake.session import materialize
 
 EDITS, MIN_CHARS = 2, 20
 # Letters whose counts are compared: fixed, in the order of their frequency in European text.
-_LETTERS = "eanirtso"
+_LETTERS = "eanirtsoludchmpg"
 # Words of 64 bits in the filter of wanted lines: a table of this many rows is broadcast.
 _FILTER_WORDS = 1 << 17
 
@@ -71,20 +71,20 @@ def _probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
 
 
 def _letter_counts(line: Column) -> Column:
-    """Counts of frequent letters, one byte each."""
+    """Counts of frequent letters modulo 16, four bits each."""
     total = F.lit(0).cast("long")
     for place, letter in enumerate(_LETTERS):
         count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(255).cast("long"), 8 * place))
+        total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(15).cast("long"), 4 * place))
     return total
 
 
 def _may_be_near(a: Column, b: Column, edits: int) -> Column:
-    """An edit changes at most two counts by one; counts are known modulo 256."""
+    """An edit changes at most two counts by one; counts are known modulo 16."""
     apart = F.lit(0)
     for place in range(len(_LETTERS)):
-        one = F.shiftrightunsigned(a, 8 * place).bitwiseAND(255) - F.shiftrightunsigned(b, 8 * place).bitwiseAND(255)
-        apart = apart + F.abs(F.pmod(one + 128, F.lit(256)) - 128)
+        one = F.shiftrightunsigned(a, 4 * place).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * place).bitwiseAND(15)
+        apart = apart + F.abs(F.pmod(one + 8, F.lit(16)) - 8)
     return apart <= 2 * edits
 
 

@@ -231,7 +231,8 @@ class _Join:
             .agg(F.collect_list(F.struct("key", "root", "brief")).alias("others")),
             "strangers",
         )
-        compared = members.join(others.select("node", "others"), "node").join(briefs, "key")
+        # blocks join last: they are wide, and go straight into the comparison
+        compared = members.join(briefs, "key").join(others.select("node", "others"), "node")
         return compared.select("key", "root", "brief", "others").mapInArrow(_strangers(self.least), "a binary, b binary")
 
     def links(self) -> DataFrame:
