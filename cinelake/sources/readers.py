@@ -13,13 +13,25 @@ from pyspark.sql import types as T
 log = logging.getLogger(__name__)
 
 
-def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """Read a Parquet, CSV or JSON path, told apart by its extension (Parquet if none)."""
+# Written and read alike: doubled quotes, blanks kept at the edges of a field.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, kind: str | None = None
+) -> DataFrame:
+    """Read a Parquet, CSV or JSON path, told apart by ``kind`` or its extension (Parquet if none).
+
+    JSON is one record per line. CSV fields may hold line breaks, so a CSV file is read by one task.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
-    if extension == ".csv":
-        return reader.option("header", True).csv(path)
-    if extension == ".json":
+    kind = kind or extension.removeprefix(".")
+    if kind == "csv":
+        return reader.options(**CSV_OPTIONS, multiLine="true").csv(path)
+    if kind == "json":
         return reader.json(path)
     return reader.parquet(path)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.operators.cleaning import clean_nan, drop_all_null_columns
+from cinelake.sources.readers import CSV_OPTIONS, read_table
 
 log = logging.getLogger(__name__)
 
@@ -34,7 +35,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Quotes inside quoted fields are doubled, and blanks at the edges kept, as other tools expect."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def _run_all(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) -> DataFrame:
@@ -47,7 +49,7 @@ def _run_all(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) ->
             report.append((target, status, rows or 0, None))
         except Exception as failure:  # the point is that one bad table stops no other
             log.exception("export of %s failed", target)
-            report.append((target, "failed", 0, str(failure).splitlines()[0][:200]))
+            report.append((target, "failed", 0, str(failure)))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -77,7 +79,7 @@ def export_datasets(
             df = build()
             path = f"{out_dir}/{name}"
             write_csv(df, path)
-            return spark.read.schema(df.schema).option("header", True).csv(path).count()
+            return read_table(spark, path, df.schema, "csv").count()
 
         return run
 

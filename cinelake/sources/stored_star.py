@@ -11,12 +11,13 @@ from cinelake.sources.schemas import SCHEMAS, TABLE_NAMES
 
 class StoredStar:
     """Tables from a directory of Parquet, CSV or JSON files, or from the session catalog
-    when no directory is given. ``json_arrays`` tells that JSON files hold one array."""
+    when no directory is given. JSON files hold a record per line, but for the roles in
+    ``array_roles``, whose files hold one array each (for dimensions: one task reads a file)."""
 
-    def __init__(self, spark: SparkSession, directory: str | None = None, json_arrays: bool = True):
+    def __init__(self, spark: SparkSession, directory: str | None = None, array_roles: frozenset[str] = frozenset()):
         self.spark = spark
         self.directory = directory
-        self.json_arrays = json_arrays
+        self.array_roles = array_roles
 
     def table(self, role: str) -> DataFrame:
         names = TABLE_NAMES[role]
@@ -25,13 +26,13 @@ class StoredStar:
         for name in names:
             for extension in (".parquet", ".csv", ".json"):
                 try:
-                    return self._read(f"{self.directory}/{name}{extension}", SCHEMAS.get(role))
+                    return self._read(f"{self.directory}/{name}{extension}", SCHEMAS.get(role), role in self.array_roles)
                 except AnalysisException:
                     continue
         raise LookupError(f"no file for {role} in {self.directory}: " + ", ".join(names))
 
-    def _read(self, path: str, schema: str | None) -> DataFrame:
-        if path.endswith(".json") and self.json_arrays:
+    def _read(self, path: str, schema: str | None, array: bool) -> DataFrame:
+        if path.endswith(".json") and array:
             if schema is None:
                 return self.spark.read.option("multiLine", True).json(path)
             return read_json_array(self.spark, path, schema)

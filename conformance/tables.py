@@ -64,11 +64,6 @@ def s7(spark, directory) -> DataFrame:
     return readers.read_first_available(spark, paths, "p_partkey BIGINT, p_name STRING, p_size INT")
 
 
-@case("s7_no_file_gives_empty_table", "SELECT p_partkey, p_name FROM part WHERE false")
-def s7_empty(spark, directory) -> DataFrame:
-    return readers.read_first_available(spark, [f"{directory}/no_such.parquet"], "p_partkey BIGINT, p_name STRING")
-
-
 @case("s8_json_array_table", with_tables("geography", "SELECT * FROM geography"))
 def s8(spark, directory) -> DataFrame:
     """The city dimension, stored as one JSON array and read back."""
