@@ -18,7 +18,10 @@ judged alike, and keep their lines together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinelake.session import materialize
@@ -47,15 +50,20 @@ def _segment(length: Column, edits: int, number: int) -> tuple[Column, Column]:
     return (short * number + before + 1).cast("int"), (short + (F.lit(number) >= F.lit(parts) - longer).cast("int")).cast("int")
 
 
-def _index_keys(line: Column, length: Column, edits: int) -> list[Column]:
+def _piece(wide: Column, start: Column, size: Column) -> Column:
+    """Characters of a line in four bytes each, so that a place is found without a walk."""
+    return F.substring(wide, start * 4 - 3, size * 4)
+
+
+def _index_keys(wide: Column, length: Column, edits: int) -> list[Column]:
     out = []
     for number in range(edits + 1):
         start, size = _segment(length, edits, number)
-        out.append(F.xxhash64(F.lit(number), length, F.substring(line, start, size)))
+        out.append(F.xxhash64(F.lit(number), length, _piece(wide, start, size)))
     return out
 
 
-def _probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
+def _probe_keys(wide: Column, length: Column, edits: int) -> list[Column]:
     """Substrings that may equal a segment of a line of ``length - less`` characters."""
     out = []
     for less in range(edits + 1):
@@ -65,18 +73,21 @@ def _probe_keys(line: Column, length: Column, edits: int) -> list[Column]:
             left, right = number, edits - number  # edits before the segment, and behind it
             for shift in range(max(-left, less - right), min(left, less + right) + 1):
                 place = start + shift
-                key = F.xxhash64(F.lit(number), other, F.substring(line, place, size))
+                key = F.xxhash64(F.lit(number), other, _piece(wide, place, size))
                 out.append(F.when((place >= 1) & (place + size - 1 <= length), key))
     return out
 
 
-def _letter_counts(line: Column) -> Column:
-    """Counts of frequent letters modulo 16, four bits each."""
+def _with_letters(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``letters``: counts of frequent letters modulo 16, four bits each.
+    Letters are taken out one after the other, so each pass reads what is left."""
     total = F.lit(0).cast("long")
     for place, letter in enumerate(_LETTERS):
-        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        before = F.col(f"rest{place - 1}" if place else "line")
+        lines = lines.withColumn(f"rest{place}", F.replace(before, F.lit(letter), F.lit("")))
+        count = F.octet_length(before) - F.octet_length(f"rest{place}")
         total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(15).cast("long"), 4 * place))
-    return total
+    return lines.withColumn("letters", total)
 
 
 def _may_be_near(a: Column, b: Column, edits: int) -> Column:
@@ -130,22 +141,35 @@ def _wanted(lines: DataFrame, keys: DataFrame) -> DataFrame:
     return held.where(F.expr("(ones & shiftleft(1L, CAST(shiftrightunsigned(h, 40) & 63 AS INT))) <> 0")).drop("word", "ones")
 
 
+@contextmanager
+def _compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """The JVM never compiles methods of over 8000 bytes: let Spark split what is longer."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _near(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     """Keys (h, g) of distinct lines with an earlier line within ``edits``."""
-    length = F.char_length("line")
-    index, probe = _index_keys(F.col("line"), length, edits), _probe_keys(F.col("line"), length, edits)
-    keyed = lines.select(
-        "h", "g", _letter_counts(F.col("line")).alias("letters"),
-        *[k.alias(f"i{n}") for n, k in enumerate(index)], *[k.alias(f"p{n}") for n, k in enumerate(probe)],
-    )
-    names = keyed.columns[2:]
-    once = keyed.groupBy("h", "g").agg(*[F.min(c).alias(c) for c in names])
-    shelf = once.select(F.col("h").alias("b"), F.col("letters").alias("b_letters"), F.explode(F.array(*names[1 : len(index) + 1])).alias("k"))
-    asked = once.select(F.col("h").alias("a"), F.col("letters").alias("a_letters"), F.explode(F.array(*names[len(index) + 1 :])).alias("k"))
+    wide, length = F.col("wide"), F.col("length")
+    index, probe = _index_keys(wide, length, edits), _probe_keys(wide, length, edits)
+    told = _with_letters(lines.withColumn("wide", F.encode("line", "UTF-32")))
+    keyed = told.withColumn("length", F.shiftright(F.octet_length("wide"), 2)).select(
+        "h", "g", F.struct("letters", F.array(*index).alias("index"), F.array(*probe).alias("probe")).alias("x")
+    )
+    # one struct: both sides of the join then read the same shuffle
+    once = keyed.groupBy("h", "g").agg(F.first("x").alias("x"))
+    shelf = once.select(F.col("h").alias("b"), F.col("x.letters").alias("b_letters"), F.explode("x.index").alias("k"))
+    asked = once.select(F.col("h").alias("a"), F.col("x.letters").alias("a_letters"), F.explode("x.probe").alias("k"))
     met = asked.where("k IS NOT NULL").join(
         shelf, (asked.k == shelf.k) & (F.col("a") != F.col("b")) & _may_be_near(F.col("a_letters"), F.col("b_letters"), edits)
     )
-    pairs = materialize(met.select("a", "b").distinct(), "line-pairs")
+    with _compiled_methods(lines.sparkSession):
+        pairs = materialize(met.select("a", "b").distinct(), "line-pairs")
     keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-keys")
     texts = _wanted(lines.select("h", "g", "line"), keys).join(keys, "h", "left_semi").dropDuplicates(["h", "g"])
     firsts = distinct.join(keys, "h", "left_semi").select("h", "g", "first")
