@@ -89,12 +89,11 @@ def scan(
     ).withColumn("blob", F.unhex(F.sha2("text", 256)))
     versions = materialize(paths.select("path", "blob"), "versions")
     seen = read_ledger(spark, ledger).where(F.col("rules") == version).select("blob")
-    # each unseen blob is read from one of its paths
-    readers = versions.groupBy("blob").agg(F.min("path").alias("reader"), F.count("path").alias("named"))
-    readers = readers.join(seen, "blob", "left_anti").withColumnRenamed("blob", "unseen")
-    once = paths.join(readers, F.col("path").eqNullSafe(F.col("reader")) & (F.col("blob") == F.col("unseen"))).dropDuplicates(
-        ["path", "blob"]
-    )
+    # each unseen blob is read from one of its paths; texts are dealt once, as the join's
+    # keys are never NULL and are those of the deduplication too
+    place = F.xxhash64("path").alias("place")
+    readers = versions.groupBy("blob").agg(F.min(F.xxhash64("path")).alias("place")).join(seen, "blob", "left_anti")
+    once = paths.select("blob", place, "text").join(readers, ["place", "blob"]).dropDuplicates(["place", "blob"])
     once.select("blob", "text").mapInArrow(_scan(rules, version), LEDGER).write.mode("append").parquet(ledger)
     found = read_ledger(spark, ledger).where((F.col("rules") == version) & (F.size("kinds") > 0)).drop("rules")
     joined = versions.join(found, "blob", "left")
