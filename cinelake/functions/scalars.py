@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,9 +67,13 @@ def _holds_float(dtype: T.DataType) -> bool:
 
 
 def to_number(value: Column) -> Column:
-    """Read a value as double; anything that is not a number becomes NULL."""
+    """Read a value as double; anything that is not a number becomes NULL.
+
+    Type suffixes and hexadecimal forms, which the cast would take, are no numbers.
+    """
     number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    literal = value.cast("string").rlike(r"(?i)^\s*[+-]?(0x.*|.*[0-9.][df])\s*$")
+    return F.when(~F.isnan(number) & ~literal, number)
 
 
 def to_key(value: Column, dtype: T.DataType) -> Column:
@@ -120,16 +122,36 @@ def _blank_to_null(text: Column) -> Column:
     return F.when(trimmed != "", trimmed)
 
 
+def spelled(value: Column, dtype: T.DataType) -> Column:
+    """Text of a scalar: True and False, and doubles without an exponent from 0.0001 to
+    under 1e16, in absolute value; beyond that as 1e+16 or 1.5e-05."""
+    text = value.cast("string")
+    if isinstance(dtype, T.BooleanType):
+        return F.initcap(text)
+    if not isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return text
+    size = F.abs(value.cast("double"))
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0*$", "$1")
+    short = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E(\d)", "e+$2"), r"(\.0)?E-", "e-")
+    padded = F.regexp_replace(short, r"e([+-])(\d)$", "e$10$2")
+    return (
+        F.when(F.isnan(value), F.lit("nan"))
+        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+        .when(text.contains("E") & (size >= 1e-4) & (size < 1e16), plain)
+        .otherwise(padded)
+    )
+
+
 def flat_text(value: Column, dtype: T.DataType) -> Column:
     """Spell a scalar, struct or (nested) list as text; NULL and empty parts vanish.
 
     A struct gives its direct scalar fields only, a list gives every element in turn.
     """
     if isinstance(dtype, (T.StringType, T.NumericType, T.BooleanType)):
-        return F.coalesce(value.cast("string"), F.lit(""))
+        return F.coalesce(spelled(value, dtype), F.lit(""))
     if isinstance(dtype, T.StructType):
         scalars = [
-            value[f.name].cast("string")
+            spelled(value[f.name], f.dataType)
             for f in dtype.fields
             if isinstance(f.dataType, (T.StringType, T.NumericType, T.BooleanType))
         ]
@@ -156,7 +178,3 @@ def default_title(key: Column) -> Column:
 def date_key(ts: Column) -> Column:
     """Timestamp to an integer yyyymmdd key."""
     return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)

@@ -78,10 +78,6 @@ def unwind(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.explode(column))
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, df_key: str, key: str) -> DataFrame:
-    return df.join(keys, same_key(df[f"`{df_key}`"], keys[f"`{key}`"]), "left_semi")
-
-
 def drop_matching(df: DataFrame, keys: DataFrame, df_key: str, key: str) -> DataFrame:
     return df.join(keys, same_key(df[f"`{df_key}`"], keys[f"`{key}`"]), "left_anti")
 

@@ -38,11 +38,17 @@ def _numeric(df: DataFrame, name: str) -> Column:
     return column if isinstance(df.schema[name].dataType, T.NumericType) else to_number(column)
 
 
+def _filled(total: Column, zero: int | float) -> Column:
+    """``zero`` in place of NULL and NaN."""
+    return F.coalesce(F.when(~F.isnan(total), total), F.lit(zero))
+
+
 def user_features(events: DataFrame) -> DataFrame:
     """Events, minutes and mean minutes per customer.
 
     Events are summed from the streams column when there is one, else counted. The
-    group of events without a customer becomes customer 0; unreadable keys drop.
+    group of events without a customer (NULL or NaN) becomes customer 0; unreadable
+    keys drop. A NaN among a customer's values makes that sum or mean 0, as NULL does.
     """
     found = resolve_columns(
         events,
@@ -51,16 +57,19 @@ def user_features(events: DataFrame) -> DataFrame:
     )
     minutes = _numeric(found, "Minutes_Watched")
     if "Streams_Count" in found.columns:
-        volume = F.coalesce(F.sum(_numeric(found, "Streams_Count")), F.lit(0))
+        volume = _filled(F.sum(_numeric(found, "Streams_Count")), 0)
     else:
         volume = F.count("*")
     key_type = found.schema["Customer_Key"].dataType
     grouped = found.groupBy("Customer_Key").agg(
         volume.alias("total_eventos"),
-        F.coalesce(F.sum(minutes), F.lit(0)).alias("total_minutos"),
-        F.coalesce(F.avg(minutes), F.lit(0.0)).alias("promedio_minutos"),
+        _filled(F.sum(minutes), 0).alias("total_minutos"),
+        _filled(F.avg(minutes), 0.0).alias("promedio_minutos"),
     )
-    key = F.when(F.col("Customer_Key").isNull(), F.lit(0).cast("bigint")).otherwise(
+    missing = F.col("Customer_Key").isNull()
+    if isinstance(key_type, (T.DoubleType, T.FloatType)):
+        missing = missing | F.isnan("Customer_Key")
+    key = F.when(missing, F.lit(0).cast("bigint")).otherwise(
         to_key(F.col("Customer_Key"), key_type)
     )
     return grouped.withColumn("Customer_Key", key).na.drop(subset=["Customer_Key"])

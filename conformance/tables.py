@@ -257,13 +257,17 @@ def p15(spark, directory) -> DataFrame:
 @case(
     "p16_numeric_coercion",
     "SELECT o_orderkey, TRY_CAST(split_part(o_orderpriority, '-', 1) AS DOUBLE) AS rank, "
-    "TRY_CAST(o_orderpriority AS DOUBLE) AS bad FROM orders",
+    "TRY_CAST(o_orderpriority AS DOUBLE) AS bad, CAST(NULL AS DOUBLE) AS suffixed, CAST(NULL AS DOUBLE) AS hexed, "
+    "CAST(o_orderkey AS DOUBLE) AS padded FROM orders",
 )
 def p16(spark, directory) -> DataFrame:
     return RetailStar(spark, directory).raw("orders").select(
         "o_orderkey",
         fn.to_number(F.substring_index("o_orderpriority", "-", 1)).alias("rank"),
         fn.to_number(F.col("o_orderpriority")).alias("bad"),
+        fn.to_number(F.concat(F.col("o_orderkey"), F.lit("d"))).alias("suffixed"),
+        fn.to_number(F.concat(F.lit("0x"), F.col("o_orderkey"), F.lit("p3"))).alias("hexed"),
+        fn.to_number(F.concat(F.lit(" +"), F.col("o_orderkey"), F.lit("e0 "))).alias("padded"),
     )
 
 

@@ -1,5 +1,6 @@
-
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelake.functions import scalars as fn
 from cinelake.functions.text import with_bigrams, word_tokens
@@ -8,8 +9,6 @@ from cinelake.operators.matrix import normalize_events
 from cinelake.sources import readers, sinks
 from cinelake.sources.schemas import TABLE_NAMES
 
-import pytest
-
 
 def test_dirty_events(spark, rows):
     events = spark.createDataFrame(
@@ -168,3 +167,19 @@ def test_alignment_keeps_watched_contents_only(spark):
     assert {r[0] for r in catalog.complete_catalog(items, known).collect()} == {1, 2, 3}
 
 
+@pytest.mark.parametrize(
+    "text,number",
+    [("12", 12.0), (" +1.5e2 ", 150.0), (".5", 0.5), ("12d", None), ("3f", None), ("1.D", None), ("0x1p3", None), ("x", None), (None, None)],
+)
+def test_only_plain_numbers_are_read(spark, rows, text, number):
+    df = spark.createDataFrame([(text,)], "v STRING")
+    assert rows(df.select(fn.to_number(F.col("v")))) == [(number,)]
+
+
+def test_scalars_are_spelled_without_short_exponents(spark, rows):
+    values = [12345678.0, 1.5, 0.0, 0.00012, 0.000015, 1e16, 2.5e20, -98765432.25, float("nan"), float("-inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    got = [r[0] for r in rows(df.select(fn.flat_text(F.col("v"), T.DoubleType())))]
+    assert got == [str(v) if v is not None else "" for v in values]
+    flags = spark.createDataFrame([(True,), (False,)], "v BOOLEAN")
+    assert rows(flags.select(fn.flat_text(F.col("v"), T.BooleanType()))) == [("True",), ("False",)]

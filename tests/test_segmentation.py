@@ -14,6 +14,14 @@ def test_missing_customer_becomes_zero_beside_a_real_zero(spark, rows):
     assert got == [(0, 1, 5.0, 5.0), (0, 2, 30.0, 15.0), (1, 1, 0.0, 0.0)]
 
 
+def test_nan_counts_as_missing(spark, rows):
+    nan = float("nan")
+    events = spark.createDataFrame(
+        [(nan, 3.0), (1.0, 4.0), (1.0, nan), (2.0, 6.0)], "`Customer Key` DOUBLE, `Minutes Watched` DOUBLE"
+    )
+    assert sorted(rows(seg.user_features(events))) == [(0, 1, 3.0, 3.0), (1, 2, 0.0, 0.0), (2, 1, 6.0, 6.0)]
+
+
 def test_text_keys_and_streams(spark, rows):
     events = spark.createDataFrame(
         [("a", 1.0, 3), ("2", 4.0, 5), ("2", 6.0, None)], "customer_key STRING, minutesWatched DOUBLE, Streams_Count BIGINT"
