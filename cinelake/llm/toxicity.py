@@ -2,9 +2,11 @@
 
 Terms are the distinct words of a text and their first four and five letters, hashed.
 A term has a weight and a short vector; the score adds the weights and the products of
-all pairs of vectors, so that two terms can say together what neither says alone. Terms
-whose share of toxic rows lies within ``LEAST_DEVIATIONS`` standard deviations of the
-base rate weigh nothing, or a long clean text would drown what it holds.
+all pairs of vectors, so that two terms can say together what neither says alone. Every
+term met has a vector; the products of a text are divided by its number of terms, or a
+long clean text would drown what it holds. For the same reason the weight alone, never
+the vector, stays 0 for terms whose share of toxic rows lies within ``LEAST_DEVIATIONS``
+standard deviations of the base rate.
 
 The machine is fitted on at most ``SAMPLE`` labelled rows, chosen by a hash of their id
 (a documented bound); every document is scored. NULL labels teach nothing, and a
@@ -59,7 +61,8 @@ class Machine:
         vectors = self.vectors[terms]
         sums = added(vectors)
         pairs = (sums**2).sum(axis=1) - added(vectors**2).sum(axis=1)
-        return self.bias + added(self.weights[terms][:, None])[:, 0] + pairs / 2, sums, vectors
+        pairs /= 2 * np.maximum(np.diff(edges), 1)
+        return self.bias + added(self.weights[terms][:, None])[:, 0] + pairs, sums, vectors
 
     def fit(self, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 6, batch: int = 256) -> "Machine":
         rng = np.random.default_rng(7)
@@ -68,10 +71,9 @@ class Machine:
         toxic = np.bincount(terms, np.repeat(labels, lengths), minlength=1 << self.bits)
         rate = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
         telling = np.abs(toxic - rate * seen) > LEAST_DEVIATIONS * np.sqrt(rate * (1 - rate) * np.maximum(seen, 1))
-        rows = [r[telling[r]] for r in rows]
         self.bias = float(np.log(rate / (1 - rate)))
-        self.vectors[telling] = rng.normal(0, 0.01, (int(telling.sum()), self.vectors.shape[1]))
-        squares_w, squares_v = np.full(len(self.weights), 1e-6, np.float32), np.full(self.vectors.shape, 1e-6, np.float32)
+        self.vectors[seen > 0] = rng.normal(0, 0.05, (int((seen > 0).sum()), self.vectors.shape[1]))
+        squares_w, squares_v = np.full(len(self.weights), 1e-6, np.float32), np.full(self.vectors.shape, 1e-5, np.float32)
         for _ in range(epochs):
             order = rng.permutation(len(rows))
             for at in range(0, len(order), batch):
@@ -82,13 +84,13 @@ class Machine:
                 slope = 1 / (1 + np.exp(-np.clip(margins, -30, 30))) - labels[some]
                 each = np.repeat(slope, lengths)
                 used, back = np.unique(terms, return_inverse=True)
-                grad_w = np.bincount(back, each) / len(some) + 2e-5 * self.weights[used]
-                pull = each[:, None] * (np.repeat(sums, lengths, axis=0) - vectors)
+                grad_w = telling[used] * (np.bincount(back, each) / len(some) + 2e-5 * self.weights[used])
+                pull = np.repeat(slope / np.maximum(lengths, 1), lengths)[:, None] * (np.repeat(sums, lengths, axis=0) - vectors)
                 grad_v = np.stack([np.bincount(back, p) for p in pull.T], axis=1) / len(some) + 2e-4 * self.vectors[used]
                 squares_w[used] += grad_w**2
                 squares_v[used] += grad_v**2
                 self.weights[used] -= 0.1 * grad_w / np.sqrt(squares_w[used])
-                self.vectors[used] -= 0.01 * grad_v / np.sqrt(squares_v[used])
+                self.vectors[used] -= 0.4 * grad_v / np.sqrt(squares_v[used])
                 self.bias -= 0.05 * float(slope.mean())
         return self
 
