@@ -2,7 +2,9 @@
 
 A line goes when it repeats an earlier line, or lies within ``edits`` of a line that
 first occurs earlier (by document id, text hash and line number; NULL ids first). Lines
-under ``min_chars`` characters are too short to call copies and always stay.
+under ``min_chars`` characters cannot be told apart by a few edits: they are never joined
+by edits. With ``short`` exact repeats of those with a visible character go too (so in the
+query and the pipeline); without it they always stay.
 
 Equal lines are one row before anything else. A distinct line is cut into ``edits`` + 1
 segments; of two lines within ``edits`` one segment must occur unchanged in the other,
@@ -186,13 +188,14 @@ def _near(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     return near.select("later.h", "later.g").distinct()
 
 
-def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False) -> DataFrame:
     """(id, at, dropped): the numbers (from 0) of the lines to drop, per document with any."""
     every = _lines(docs, id_column)
     long_ = every.where(F.char_length("line") >= min_chars)
+    grouped = every.where((F.char_length("line") >= min_chars) | F.col("line").rlike(r"\S")) if short else long_
     occurrence = F.struct("id", "at", "line_no")
     distinct = materialize(
-        long_.groupBy("h", "g").agg(F.min(occurrence).alias("first"), F.max(occurrence).alias("last")), "lines"
+        grouped.groupBy("h", "g").agg(F.min(occurrence).alias("first"), F.max(occurrence).alias("last")), "lines"
     )
     near = materialize(_near(long_, distinct, edits), "near-lines")
     bad = materialize(
@@ -201,16 +204,18 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", edits: int = EDI
         .select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near")),
         "bad-lines",
     )
-    narrow = _wanted(long_.select("id", "at", "line_no", "h", "g"), bad)
+    narrow = _wanted(grouped.select("id", "at", "line_no", "h", "g"), bad)
     dropped = narrow.join(bad, ["h", "g"]).where(F.col("near") | ~occurrence.eqNullSafe(F.col("first")))
     return materialize(
         dropped.groupBy("id", "at").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")), "dropped-lines"
     )
 
 
-def report(docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def report(
+    docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
+) -> DataFrame:
     """Every row as (id, n_lines, n_dropped, dropped)."""
-    dropped = duplicate_lines(docs, id_column, edits, min_chars)
+    dropped = duplicate_lines(docs, id_column, edits, min_chars, short)
     counted = docs.select(
         F.col(f"`{id_column}`").alias("row_id"), F.xxhash64("text").alias("text_at"),
         F.coalesce(F.size(F.split(F.col("text").cast("string"), "\n")), F.lit(0)).alias("n_lines"),
@@ -227,14 +232,14 @@ def report(docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_c
 
 
 def without_duplicate_lines(
-    docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, id_column: str = "doc_id", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
 ) -> DataFrame:
     """``docs`` with the duplicate lines cut out of ``text``. A document that loses lines
     and is left without any visible character goes; all other rows stay."""
     columns = docs.columns
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{n}") for n, c in enumerate(columns)])
     text, own = f"c{columns.index('text')}", f"c{columns.index(id_column)}"
-    dropped = duplicate_lines(inner.select(F.col(own).alias("row_id"), F.col(text).alias("text")), "row_id", edits, min_chars)
+    dropped = duplicate_lines(inner.select(F.col(own).alias("row_id"), F.col(text).alias("text")), "row_id", edits, min_chars, short)
     keyed = inner.withColumn("text_at", F.xxhash64(text))
     found = keyed.join(dropped, F.col(own).eqNullSafe(dropped["id"]) & (F.col("text_at") == dropped["at"]), "left")
     kept = F.array_join(

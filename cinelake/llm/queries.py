@@ -70,7 +70,7 @@ FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 @query("op1_line_dedup")
 def lines(spark: SparkSession, directory: str) -> DataFrame:
-    return line_dedup.report(documents(spark, directory))
+    return line_dedup.report(documents(spark, directory), short=True)
 
 
 @query("op2_balanced_sharding")

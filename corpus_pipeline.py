@@ -27,7 +27,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Lines that repeat an earlier one, or nearly do, are cut; documents of nothing else go.
     ``n_chars`` is counted anew where a text changed."""
     before = docs.withColumn("__text", F.col("text"))
-    after = line_dedup.without_duplicate_lines(before)
+    after = line_dedup.without_duplicate_lines(before, short=True)
     changed = ~F.col("text").eqNullSafe(F.col("__text"))
     return _recounted(after, changed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
