@@ -61,14 +61,15 @@ class TextIds:
     The tokenizer drops white space, never joins over it, and parts letters from marks,
     so a text's ids are those of its runs of letters (in lower case) and of marks. Runs
     are found and hashed for a slice of texts at once; only runs not met before are
-    encoded, many in one call, and parted at the tokens that end a word.
+    encoded, many in one call, and parted at the tokens that end a word. A text that
+    holds an added token, such as a literal end mark, is encoded whole instead.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
@@ -122,6 +123,14 @@ class TextIds:
         self.count = np.insert(self.count, place, counts[order])
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
+        whole = [any(token in text for token in self.added) for text in texts]
+        out = self._of_runs([b"" if odd else text for text, odd in zip(texts, whole)])
+        for at in np.flatnonzero(whole).tolist():
+            found = self.tokenizer.encode(texts[at].decode("utf-8", "replace"), add_special_tokens=False)
+            out[at] = np.array(found.ids, np.uint32)
+        return out
+
+    def _of_runs(self, texts: list[bytes]) -> list[np.ndarray]:
         raw = b"\n".join(texts) + b"\n"
         data = np.frombuffer(raw, np.uint8)
         if len(data) >= len(self.powers[0]):
