@@ -33,14 +33,19 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the least id."""
-    found = near_duplicates.near_duplicates(docs, width=5, share=(80, 100))
-    gone = materialize(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    nameless = F.col("doc_id").isNull()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    if docs.where(nameless).isEmpty():
-        return kept.dropDuplicates(["doc_id"])
-    return kept.where(~nameless).dropDuplicates(["doc_id"]).unionByName(docs.where(nameless))
+    """One row of each group of near-duplicates stays: the one with the least id, NULL ids last.
+    Rows go by a key of id and text: different texts of one id are judged apart, and of rows that
+    repeat both one stays. Rows without id and visible text are no copies and all stay."""
+    row = F.struct(
+        F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("at")
+    )
+    keyed = docs.withColumn("__row", row)
+    found = near_duplicates.near_duplicates(keyed, "__row", width=5, share=(80, 100))
+    gone = materialize(found.where("NOT kept").select(F.col("__row").alias("__gone")).distinct(), "gone")
+    nothing = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
+    single = keyed.withColumn("__single", F.when(nothing, F.monotonically_increasing_id()))
+    kept = single.join(gone, F.col("__row") == F.col("__gone"), "left_anti")
+    return kept.dropDuplicates(["__row", "__single"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
