@@ -9,7 +9,8 @@ Documents never leave their task. The benchmark goes to the workers in parts of
 ``PART_BYTES`` of text (an item is never split), of which a task holds one at a time.
 
 NULL and empty texts have no words and are clean. Repeated documents are judged each
-by itself; repeated items count once per ``item_id``. An empty benchmark hits nothing.
+by itself; repeated items count once per ``item_id``. An item without id is looked for
+like any other, but neither counted nor named among the items found. An empty benchmark hits nothing.
 """
 
 from __future__ import annotations
@@ -43,13 +44,15 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Phrases:
     """Distinct windows of some benchmark items, as symbols of their vocabulary."""
 
-    def __init__(self, items: list[tuple[str, bytes | None]], width: int):
+    def __init__(self, items: list[tuple[str | None, bytes | None]], width: int):
         self.vocabulary: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = {}
         for item_id, text in items:
             symbols = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             for at in range(max(len(symbols) - width, 0) + 1 if symbols else 0):
-                owners.setdefault(tuple(symbols[at : at + width]), set()).add(item_id)
+                owner = owners.setdefault(tuple(symbols[at : at + width]), set())
+                if item_id is not None:
+                    owner.add(item_id)
         self.owners = [sorted(o) for o in owners.values()]
         self.lengths = np.array([len(w) for w in owners], np.int64)
         self.symbols = np.zeros((len(owners), width), np.int64)
@@ -154,7 +157,7 @@ def phrase_parts(benchmark: DataFrame, width: int = WIDTH, part_bytes: int = PAR
     out = []
     for number in range(parts):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == number) if parts > 1 else items
-        rows = [(r.item_id, r.text.encode()) for r in own.where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator()]
+        rows = [(r.item_id, r.text.encode()) for r in own.where("text IS NOT NULL").toLocalIterator()]
         out.append(spark.sparkContext.broadcast(Phrases(rows, width)))
     return out
 
