@@ -68,16 +68,19 @@ def build_matrix(events: DataFrame) -> Matrix:
     return Matrix(cells, *sizes)
 
 
-def wide(matrix: Matrix, bound: int = WIDE_COLUMNS) -> DataFrame:
+def wide(matrix: Matrix, bound: int = WIDE_COLUMNS, contents: list | None = None) -> DataFrame:
     """Users by contents with a column each, 0 where nothing was watched.
 
-    Only for catalogues of at most ``bound`` contents; everything else in this
-    package works on the long form.
+    ``contents`` names the columns, in their order; every user keeps a row. Without it
+    the columns are all contents, of which at most ``bound`` may exist; everything else
+    in this package works on the long form.
     """
-    if matrix.items > bound:
-        raise ValueError(f"{matrix.items} contents are too many columns")
-    keys = matrix.cells.select("Content_Key").distinct().orderBy("Content_Key").collect()
-    items = [row["Content_Key"] for row in keys]
+    items = contents
+    if items is None:
+        if matrix.items > bound:
+            raise ValueError(f"{matrix.items} contents are too many columns")
+        keys = matrix.cells.select("Content_Key").distinct().orderBy("Content_Key").collect()
+        items = [row["Content_Key"] for row in keys]
     return (
         matrix.cells.groupBy("Customer_Key")
         .pivot("Content_Key", items)
