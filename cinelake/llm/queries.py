@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, ngram_model, packing, quality, secrets, sharding, toxicity
 from cinelake.llm.common import documents, remainder
+from cinelake.llm.manifest import manifest_sql, tampered_manifest
 from cinelake.llm.registry import ORACLES, QUERIES, query
 from cinelake.session import new_path
 from cinelake.sources.readers import read_table
@@ -137,6 +138,11 @@ def packed(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+@query("op11_merkle_manifest", manifest_sql())
+def proven(spark: SparkSession, directory: str) -> DataFrame:
+    return tampered_manifest(documents(spark, directory))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     return corpus_pipeline.run(spark, directory)
