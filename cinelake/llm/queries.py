@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, language, line_dedup, near_duplicates, ngram_model, packing, quality, secrets, sharding, toxicity
+from cinelake.llm import decontaminate, language, lexical, line_dedup, near_duplicates, ngram_model, packing, quality, secrets, sharding, toxicity
 from cinelake.llm.common import documents, remainder
 from cinelake.llm.manifest import manifest_sql, tampered_manifest
 from cinelake.llm.registry import ORACLES, QUERIES, query
@@ -68,6 +68,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+SEARCH_SQL = rf"""
+WITH asked AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_FOLDED}, '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS w FROM benchmark
+), doc_words AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_FOLDED}, '[a-z0-9\x{{80}}-\x{{10FFFF}}]+') AS w FROM documents
+), totals AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS words FROM doc_words WHERE len(w) > 0),
+postings AS (
+  SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM doc_words) GROUP BY ALL
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM postings, totals GROUP BY t, docs
+), lengths AS (
+  SELECT d, doc_id, 100 - 75 + (75 * len(w)::BIGINT * docs) // words AS m FROM doc_words, totals WHERE len(w) > 0
+), scored AS (
+  SELECT q, item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM (SELECT q, item_id, unnest(w) AS t FROM asked) JOIN postings USING (t) JOIN weights USING (t) JOIN lengths USING (d)
+  GROUP BY q, item_id, d, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 
 @query("op1_line_dedup")
 def lines(spark: SparkSession, directory: str) -> DataFrame:
@@ -143,6 +165,11 @@ def proven(spark: SparkSession, directory: str) -> DataFrame:
     return tampered_manifest(documents(spark, directory))
 
 
+@query("op12_ranked_search", SEARCH_SQL)
+def ranked(spark: SparkSession, directory: str) -> DataFrame:
+    return lexical.search(documents(spark, directory), read_table(spark, f"{directory}/benchmark.parquet"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     return corpus_pipeline.run(spark, directory)
