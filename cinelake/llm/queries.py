@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import decontaminate, language, lexical, line_dedup, near_duplicates, ngram_model, packing, quality, secrets, sharding, toxicity
+from cinelake.llm import decontaminate, language, lexical, line_dedup, near_duplicates, ngram_model, packing, quality, secrets, sharding, suffix_dedup, toxicity
 from cinelake.llm.common import documents, remainder
 from cinelake.llm.manifest import manifest_sql, tampered_manifest
 from cinelake.llm.registry import ORACLES, QUERIES, query
@@ -90,6 +90,37 @@ postings AS (
 SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
 """
 
+REPEATS_SQL = """
+WITH bytes AS (
+  SELECT row_number() OVER () AS d, doc_id, coalesce(hex(encode(text)), '') AS h FROM documents
+), chunks AS (
+  SELECT d, c, substr(h, 2 * c + 1, 2 * (1024 + 399)) AS s
+  FROM (SELECT d, h, unnest(range(0, greatest(len(h) // 2 - 399, 0), 1024)) AS c FROM bytes)
+), windows AS (
+  SELECT d, c + i AS pos, md5_number(substr(s, (2 * i + 1)::INT, 800)) AS w
+  FROM (SELECT d, c, s, unnest(range(0, least(1024, len(s) // 2 - 399))) AS i FROM chunks)
+), repeated AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+hits AS (
+  SELECT d, pos, lag(pos) OVER (PARTITION BY d ORDER BY pos) AS prior, lead(pos) OVER (PARTITION BY d ORDER BY pos) AS later
+  FROM windows SEMI JOIN repeated USING (w)
+), edges AS (
+  SELECT d, pos AS start, NULL AS stop FROM hits WHERE prior IS NULL OR pos - prior > 400
+  UNION ALL SELECT d, NULL, pos + 400 FROM hits WHERE later IS NULL OR later - pos > 400
+), spans AS (
+  SELECT d, unnest(list_zip(list_sort(list(start) FILTER (start IS NOT NULL)), list_sort(list(stop) FILTER (stop IS NOT NULL)))) AS s
+  FROM edges GROUP BY d
+), gaps AS (
+  SELECT d, lag(s[2], 1, 0) OVER (PARTITION BY d ORDER BY s[1]) AS start, s[1] AS stop, s[2] - s[1] AS removed, s[2] AS past FROM spans
+), cut AS (
+  SELECT d, sum(removed)::BIGINT AS n_removed, count(*) AS n_spans,
+    string_agg(substr(h, (2 * start + 1)::INT, (2 * (stop - start))::INT), '' ORDER BY start) || any_value(substr(h, (2 * last + 1)::INT)) AS rest
+  FROM gaps JOIN bytes USING (d) JOIN (SELECT d, max(past) AS last FROM gaps GROUP BY d) USING (d) GROUP BY d
+)
+SELECT doc_id, len(h)::BIGINT // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (d)
+"""
+
 
 @query("op1_line_dedup")
 def lines(spark: SparkSession, directory: str) -> DataFrame:
@@ -170,6 +201,15 @@ def ranked(spark: SparkSession, directory: str) -> DataFrame:
     return lexical.search(documents(spark, directory), read_table(spark, f"{directory}/benchmark.parquet"))
 
 
+@query("op13_suffix_dedup", REPEATS_SQL)
+def without_passages(spark: SparkSession, directory: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(documents(spark, directory))
+    return found.select(
+        "doc_id", F.col("n_bytes").cast("long").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, directory: str) -> DataFrame:
     return corpus_pipeline.run(spark, directory)
