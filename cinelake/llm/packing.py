@@ -6,16 +6,21 @@ packed again, until one bounded partition is left or nothing more can be merged.
 carries its members (at most ``size``, as each has a token), so no round joins.
 
 A NULL text is an empty document: its end token alone. Every document has at least one
-piece. Repeated rows are packed as often as they occur.
+piece. Repeated rows are packed as often as they occur, ties in the order they come. A very
+long text is encoded in slices cut at white space. An empty table gives no rows. Only the id
+and ``text`` are read, whatever type the id has; other columns may have any name.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +34,8 @@ TASK_BINS = 100_000
 LEAST_BINS = 4_000
 ROUNDS = 4
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-MEMBER = "struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>"
+_SLICE = 256 << 10  # bytes of text encoded at once
+_PIECE = [("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
 
 
 # Kinds of bytes: blanks part chunks, letters and marks are pre-tokens of their own, a
@@ -55,6 +60,24 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the stretches that begin at ``starts``, in a row."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _cut_at_blanks(text: bytes) -> Iterator[bytes]:
+    """The text in slices of about ``_SLICE`` bytes. A slice without a blank goes on to the next one."""
+    blank, at = re.compile(rb"[ \n]"), 0
+    while len(text) - at > _SLICE:
+        found = blank.search(text, at + _SLICE)
+        if not found:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
 class TextIds:
     """Ids of texts, with a bounded memory of the pre-tokens met.
 
@@ -66,6 +89,7 @@ class TextIds:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and threads keep memory
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -74,13 +98,15 @@ class TextIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
         self.kinds = _kinds()
-        self.powers = _powers(1 << 22)
+        self.powers = _powers(2 * _SLICE)
         self._forget()
 
     def _forget(self) -> None:
         self.hashes = np.empty(0, np.uint64)  # sorted; of each, where its ids lie in the pool
         self.first = self.count = np.empty(0, np.int64)
         self.pool = np.empty(0, np.uint32)
+        self.bytes_at = self.bytes_of = np.empty(0, np.int64)  # where the run's own bytes lie, and how many
+        self.bytes = np.empty(0, np.uint8)
 
     def _learn(self, runs: list[str], single: bool) -> tuple[list[np.ndarray], list[int]]:
         """Ids of the runs in a row, and how many each has. ``single``: each is one pre-token."""
@@ -99,8 +125,6 @@ class TextIds:
         return ids, counts
 
     def _remember(self, raw: bytes, low: bytes, hashes, starts, stops, kinds) -> None:
-        if len(self.hashes) > 4 * REMEMBERED:
-            self._forget()
         at = np.searchsorted(self.hashes, hashes)
         known = at < len(self.hashes)
         known[known] = self.hashes[at[known]] == hashes[known]
@@ -121,15 +145,26 @@ class TextIds:
         self.hashes = np.insert(self.hashes, place, new[order])
         self.first = np.insert(self.first, place, first[order])
         self.count = np.insert(self.count, place, counts[order])
+        some = np.r_[plain, other]
+        sizes = stops[some] - starts[some]
+        self.bytes_at = np.insert(self.bytes_at, place, (len(self.bytes) + np.cumsum(sizes) - sizes)[order])
+        self.bytes_of = np.insert(self.bytes_of, place, sizes[order])
+        self.bytes = np.r_[self.bytes, np.frombuffer(low, np.uint8)[_spread(starts[some], sizes)]]
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
         whole = [any(token in text for token in self.added) for text in texts]
         out = self._of_runs([b"" if odd else text for text, odd in zip(texts, whole)])
         for at in np.flatnonzero(whole).tolist():
-            found = self.tokenizer.encode(texts[at].decode("utf-8", "replace"), add_special_tokens=False)
-            out[at] = np.array(found.ids, np.uint32)
+            out[at] = self._encoded(texts[at])
         return out
 
+    def of_long(self, text: bytes) -> np.ndarray:
+        """Ids of a text of any length, encoded in slices."""
+        return np.concatenate([ids for part in _cut_at_blanks(text) for ids in self.of([part])])
+
+    def _encoded(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+
     def _of_runs(self, texts: list[bytes]) -> list[np.ndarray]:
         raw = b"\n".join(texts) + b"\n"
         data = np.frombuffer(raw, np.uint8)
@@ -155,8 +190,13 @@ class TextIds:
         hashes = mixed((sums[stops] - sums[starts]) * inverse[starts] + (stops - starts).astype(np.uint64))
         hashes[kinds[starts] == _OTHER] ^= np.uint64(_BASE)
         distinct, place, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) > REMEMBERED // 2:
+            self._forget()
         self._remember(raw, low.tobytes(), distinct, starts[place], stops[place], kinds[starts[place]])
         at = np.searchsorted(self.hashes, distinct)[back]
+        sizes = stops - starts
+        if (self.bytes_of[at] != sizes).any() or (self.bytes[_spread(self.bytes_at[at], sizes)] != low[_spread(starts, sizes)]).any():
+            return [self._encoded(text) for text in texts]  # different runs of one hash
         counts = self.count[at]
         edges = np.r_[0, np.cumsum(counts)]
         ids = self.pool[np.repeat(self.first[at] - edges[:-1], counts) + np.arange(edges[-1])]
@@ -168,29 +208,35 @@ class TextIds:
 def _pieces(path: str, size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = TextIds(path), bytes(4)
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
-            doc_ids, raw = batch.column(0).to_pylist(), texts_of(batch.column(1))
-            for some in slices(raw, 1 << 30, 1 << 21):
-                out: list[list] = [[] for _ in types]
-                for doc_id, found in zip(doc_ids[some], known.of([text or b"" for text in raw[some]])):
-                    ids = found.astype("<u4").tobytes() + end
-                    for number, at in enumerate(range(0, len(ids), 4 * size)):
-                        part = ids[at : at + 4 * size]
-                        for column, value in zip(out, (doc_id, number, at // 4, len(part) // 4, zlib.crc32(part))):
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for some in slices([range(size) for size in sizes], 1 << 30, _SLICE):
+                texts = [text or b"" for text in texts_of(batch.column(1).slice(some.start, some.stop - some.start))]
+                ids = [known.of_long(texts[0])] if len(texts) == 1 else known.of(texts)
+                out: list[list] = [[] for _ in range(5)]
+                for row, found in enumerate(ids, some.start):
+                    found = found.astype("<u4").tobytes() + end
+                    for number, at in enumerate(range(0, len(found), 4 * size)):
+                        part = found[at : at + 4 * size]
+                        for column, value in zip(out, (row, number, at // 4, len(part) // 4, zlib.crc32(part))):
                             column.append(value)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, types)], ["doc_id", "piece", "start", "length", "ids_crc32"]
-                )
+                    [batch.column(0).take(pa.array(out[0], pa.int64()))] + [pa.array(c, t) for c, (_, t) in zip(out[1:], _PIECE)],
+                    ["doc_id", *[name for name, _ in _PIECE]],
+                )
 
     return run
 
 
-def tokenize(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
+def _fields(id_type: str) -> str:
+    return f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
+
+
+def tokenize(docs: DataFrame, tokenizer: str, size: int = SIZE, id_column: str = "doc_id") -> DataFrame:
     """Pieces of at most ``size`` ids of every document, the end token 0 included."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _pieces(tokenizer, size), PIECES
-    )
+    picked = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    pieces = picked.mapInArrow(_pieces(tokenizer, size), _fields(picked.schema["doc_id"].dataType.simpleString()))
+    return pieces.withColumnRenamed("doc_id", id_column)
 
 
 def best_fit(lengths: np.ndarray, size: int) -> np.ndarray:
@@ -219,10 +265,10 @@ def best_fit(lengths: np.ndarray, size: int) -> np.ndarray:
 
 def _pack(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))  # at most about TASK_BINS rows
-        if not table.num_rows:
+        held = [batch for batch in batches if batch.num_rows]  # at most about TASK_BINS rows
+        if not held:
             return
-        table = table.combine_chunks()
+        table = pa.Table.from_batches(held).combine_chunks()
         used = table.column("used").to_numpy()
         bins = best_fit(used, size)
         order = np.argsort(bins, kind="stable")
@@ -242,13 +288,28 @@ def _pack(size: int):
     return run
 
 
-def pack(pieces: DataFrame, size: int = SIZE, slack: int = 4, label: str = "packing") -> DataFrame:
+def _laid(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per member of each bin, with its place there."""
+    for batch in batches:
+        members = batch.column(1)
+        flat, counts = members.flatten(), np.diff(members.offsets.to_numpy())
+        lengths = flat.field("length").to_numpy(zero_copy_only=False)
+        before = np.cumsum(lengths) - lengths
+        firsts = np.cumsum(counts) - counts  # no bin is empty
+        offsets = before - np.repeat(before[firsts], counts)
+        numbers = np.repeat(batch.column(0).to_numpy(), counts)
+        names = [flat.type.field(i).name for i in range(flat.type.num_fields)]
+        yield pa.RecordBatch.from_arrays([*flat.flatten(), pa.array(numbers), pa.array(offsets)], [*names, "sequence_id", "offset"])
+
+
+def pack(pieces: DataFrame, size: int = SIZE, slack: int = 4, label: str = "packing", id_column: str = "doc_id") -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; sequences hold at most ``size`` ids."""
-    schema = f"used long, members array<{MEMBER}>"
+    fields = _fields(pieces.schema[id_column].dataType.simpleString())
     items = pieces.select(
         F.col("length").alias("used"),
-        F.array(F.struct("doc_id", "piece", "start", "length", "ids_crc32").cast(MEMBER)).alias("members"),
+        F.array(F.struct(F.col(f"`{id_column}`").alias("doc_id"), "piece", "start", "length", "ids_crc32")).alias("members"),
     )
+    schema = f"used long, members {items.schema['members'].dataType.simpleString()}"
     left = materialize(items, f"{label}-items")
     done: DataFrame | None = None
     count = left.count()
@@ -264,10 +325,6 @@ def pack(pieces: DataFrame, size: int = SIZE, slack: int = 4, label: str = "pack
         if count <= 1 or spread == 1:
             break
         spread = max(-(-count // TASK_BINS), spread // 4 if turn < ROUNDS - 2 else 1, 1)
-    bins = done.unionByName(left).withColumn("sequence_id", F.monotonically_increasing_id())
-    before = F.aggregate(
-        F.slice("members", 1, F.col("at")), F.lit(0).cast("long"), lambda total, m: total + m["length"]
-    )
-    return bins.select("sequence_id", "members", F.posexplode("members").alias("at", "m")).select(
-        "m.*", "sequence_id", before.alias("offset")
-    )
+    bins = done.unionByName(left).select(F.monotonically_increasing_id().alias("sequence_id"), "members")
+    laid = bins.mapInArrow(_laid, f"{fields}, sequence_id long, offset long")
+    return laid.withColumnRenamed("doc_id", id_column)
