@@ -10,7 +10,9 @@ Documents never leave their task. The benchmark goes to the workers in parts of
 
 NULL and empty texts have no words and are clean. Repeated documents are judged each
 by itself; repeated items count once per ``item_id``. An item without id is looked for
-like any other, but neither counted nor named among the items found. An empty benchmark hits nothing.
+like any other, but neither counted nor named among the items found. An empty benchmark hits nothing,
+an empty table of documents gives no rows. A kept column that has the name of a result gives way to it.
+A very long text is a shard of its own.
 """
 
 from __future__ import annotations
@@ -33,7 +35,6 @@ PART_BYTES = 8 << 20
 _SHARD_DOCS, _SHARD_BYTES = 4096, 4 << 20
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32 for b in range(256))
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -96,8 +97,9 @@ def search_shard(texts: list[bytes | None], parts: Iterable[Phrases]) -> tuple[n
 
 
 def cut(text: bytes, hit: np.ndarray) -> bytes:
-    """The text without its hit words; each merged span goes with what lies inside it."""
-    spans = [m.span() for m in _WORD.finditer(text)]
+    """The text without its hit words; each merged span goes with what lies inside it.
+    Folding keeps the number of bytes, so spans of the folded text hold for the text itself."""
+    spans = [m.span() for m in re.finditer(rb"\S+", text.translate(_FOLD))]
     edges = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
     out, at = [], 0
     for first, stop in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -106,6 +108,7 @@ def cut(text: bytes, hit: np.ndarray) -> bytes:
     return b"".join([*out, text[at:]])
 
 
+RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
@@ -142,7 +145,7 @@ def _scan(parts: list[Broadcast], numerator: int, denominator: int, cleaned: boo
                         pa.array(counts), pa.array(hits.astype(np.int64)), pa.array([len(i) for i in items], pa.int64()),
                         pa.array(digests, pa.string()), pa.array(bad),
                     ],
-                    names + ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+                    [*names, *RESULTS],
                 )
 
     return run
@@ -177,6 +180,7 @@ def scan(
     With ``cleaned`` the column ``text`` must be kept; hit spans are cut out of the
     documents that are not contaminated.
     """
+    keep = [c for c in keep if c.lower() not in RESULTS]
     picked = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
     fields = [f for f in picked.schema if cleaned or f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)

@@ -167,7 +167,9 @@ def _judge(names: list[str], vectors: np.ndarray, schema: pa.Schema):
 def identify(
     docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str]
 ) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``; reads column ``text``."""
+    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``; reads column ``text``. A
+    kept column that has one of these two names gives way to the result."""
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score")]
     picked = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
     fields = [picked.schema[c] for c in keep]
     names = pa.schema([(c, pa.null()) for c in keep])
