@@ -16,20 +16,32 @@ from cinelake.session import materialize
 from cinelake.sources.readers import read_table
 
 
+# Columns that stages read by name; the others travel under names of our own, so none can clash.
+_READ = ("doc_id", "text", "lang", "n_chars")
+
+
+def _inner(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in _READ else f"c{n}") for n, c in enumerate(docs.columns)])
+
+
+def _outer(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*[F.col(c if c in _READ else f"c{n}").alias(c) for n, c in enumerate(docs.columns)])
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: those without text or any letter go."""
     model = language.prototypes(docs)
-    found = language.identify(docs, model, docs.columns)
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner = _inner(docs)
+    found = language.identify(inner, model, inner.columns)
+    return _outer(found.where(F.col("lang_pred") != language.UNKNOWN), docs)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one, or nearly do, are cut; documents of nothing else go.
     ``n_chars`` is counted anew where a text changed."""
-    before = docs.withColumn("__text", F.col("text"))
+    before = _inner(docs).withColumn("before", F.col("text"))
     after = line_dedup.without_duplicate_lines(before, short=True)
-    changed = ~F.col("text").eqNullSafe(F.col("__text"))
-    return _recounted(after, changed).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _outer(_recounted(after, ~F.col("text").eqNullSafe(F.col("before"))), docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,22 +51,21 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     row = F.struct(
         F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("at")
     )
-    keyed = docs.withColumn("__row", row)
-    found = near_duplicates.near_duplicates(keyed, "__row", width=5, share=(80, 100))
-    gone = materialize(found.where("NOT kept").select(F.col("__row").alias("__gone")).distinct(), "gone")
+    keyed = _inner(docs).withColumn("row", row)
+    found = near_duplicates.near_duplicates(keyed, "row", width=5, share=(80, 100))
+    gone = materialize(found.where("NOT kept").select(F.col("row").alias("gone")).distinct(), "gone")
     nothing = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"\S"), F.lit(False))
-    single = keyed.withColumn("__single", F.when(nothing, F.monotonically_increasing_id()))
-    kept = single.join(gone, F.col("__row") == F.col("__gone"), "left_anti")
-    return kept.dropDuplicates(["__row", "__single"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    single = keyed.withColumn("single", F.when(nothing, F.monotonically_increasing_id()))
+    kept = single.join(gone, F.col("row") == F.col("gone"), "left_anti")
+    return _outer(kept.dropDuplicates(["row", "single"]), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; lesser spans of benchmark phrases are cut out of the others."""
     benchmark = read_table(spark, f"{sf_dir}/benchmark.parquet")
-    before = docs.withColumn("__text", F.col("text"))
-    found = decontaminate.scan(before, benchmark, before.columns, cleaned=True)
-    clean = _recounted(found.where("NOT contaminated"), F.col("n_hit") > 0)
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner = _inner(docs)
+    found = decontaminate.scan(inner, benchmark, inner.columns, cleaned=True)
+    return _outer(_recounted(found.where("NOT contaminated"), F.col("n_hit") > 0), docs)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
