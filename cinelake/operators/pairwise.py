@@ -1,13 +1,19 @@
 """Exact all-pairs products of sparse vectors, block by block.
 
-The vectors are hashed into blocks of bounded size and every pair of blocks is
-one task: its rows are multiplied in memory and only a small summary leaves the
-task (the best k per row, counts, or histogram bins), never the pairs. A content
-seen by a third of the users therefore does not multiply rows, as it would in a
-self-join on that content. Work is quadratic in the number of vectors, as the
-full similarity matrix is; the shuffle carries each cell once per block. Within a
-task the product is a dense matrix product or, when few cells have a feature in
-common, a sum over just those.
+The vectors are hashed into shuffle blocks and every pair of blocks is one task; only
+a small summary leaves the task (the best k per row, counts, or histogram bins),
+never the pairs. A content seen by a third of the users therefore does not multiply
+rows, as it would in a self-join on that content. A block is as large as a task's
+memory allows, so that a cell is copied as seldom as possible (once per block), but
+there are at least as many pairs of blocks as cores.
+
+Inside a task the rows of each block are sorted by the group of features they lean to
+and cut into tiles, and tiles are multiplied: densely, or, when few cells have a
+feature in common, by a sum over just those. A tile keeps, per group of features, the
+largest length of its rows within the group. The product of two tiles' lengths, summed
+over the groups, bounds every cosine between them; when all rows of both already have
+k better ones, the pair of tiles is skipped. Work is quadratic in the number of
+vectors otherwise, as the full similarity matrix is.
 """
 
 from __future__ import annotations
@@ -21,9 +27,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cinelake.operators.matrix import DIGITS
+from cinelake.session import cores
 
-ROWS_PER_BLOCK = 2048
-CELLS_PER_BLOCK = 1_000_000
+ROWS_PER_BLOCK = 65_536
+CELLS_PER_BLOCK = 2_000_000
+ROWS_PER_TILE = 1024
+GROUPS = 32  # of features, hashed, for the bounds
 FEATURES_PER_STEP = 2048
 PRODUCTS_PER_STEP = 4_000_000
 
@@ -35,9 +44,12 @@ def blocks_for(count: int, per_block: int) -> int:
     return max(1, math.ceil(count / per_block))
 
 
-def row_blocks_for(rows: int, cell_count: int) -> int:
-    """Blocks that bound both the rows and the cells a task holds."""
-    return max(blocks_for(rows, ROWS_PER_BLOCK), blocks_for(cell_count, CELLS_PER_BLOCK))
+def row_blocks_for(rows: int, cell_count: int, tasks: int) -> int:
+    """Blocks that bound both the rows and the cells a task holds, and whose pairs are at
+    least ``tasks`` as long as there are rows enough. A cell is copied once per block."""
+    busy = math.ceil((math.sqrt(8 * tasks + 1) - 1) / 2)
+    by_size = max(blocks_for(rows, ROWS_PER_BLOCK), blocks_for(cell_count, CELLS_PER_BLOCK))
+    return max(by_size, min(busy, max(rows, 1)))
 
 
 def _bucket(column: Column, count: int) -> Column:
@@ -124,40 +136,112 @@ def _sparse_product(left, right, first: np.ndarray, matches: np.ndarray) -> np.n
     return out.reshape(rows, columns)
 
 
-def _sides(part: pd.DataFrame, lo: int, hi: int):
-    """Keys of both blocks in ascending order and their product matrix."""
+class _Tile:
+    """Rows of a block, keys ascending, and the bound of each feature group."""
+
+    def __init__(self, coded, rows: np.ndarray, lengths: np.ndarray):
+        keys, at, row, value = coded
+        self.rows = np.sort(rows)
+        place = np.full(len(keys), -1)
+        place[self.rows] = np.arange(len(rows))
+        own = place[row] >= 0
+        self.cells = (keys[self.rows], at[own], place[row[own]], value[own])
+        self.bounds = lengths[self.rows].max(axis=0, initial=0.0)
+
+
+def _tiles(coded, groups: np.ndarray) -> list[_Tile]:
+    """Tiles of rows that lean to the same features; ``groups`` is the group of each shared feature."""
+    keys, at, row, value = coded
+    squares = np.bincount(row * GROUPS + groups[at], weights=value * value, minlength=len(keys) * GROUPS)
+    lengths = np.sqrt(squares.reshape(len(keys), GROUPS))
+    order = np.argsort(lengths.argmax(axis=1), kind="stable")
+    return [_Tile(coded, order[i : i + ROWS_PER_TILE], lengths) for i in range(0, len(order), ROWS_PER_TILE)]
+
+
+def _tile_product(left: _Tile, right: _Tile, features: int) -> np.ndarray:
+    a, b = left.cells, right.cells
+    first = np.searchsorted(b[1], a[1], side="left")
+    matches = np.searchsorted(b[1], a[1], side="right") - first
+    if matches.sum() * SPARSE_COST < len(a[0]) * len(b[0]) * features:
+        return _sparse_product(a, b, first, matches)
+    return _dense_product(a, b, features)
+
+
+def _tiled_sides(part: pd.DataFrame, lo: int, hi: int):
+    """Tiles of both blocks, the same list for a block with itself, and the number of shared features."""
     left_part = part[part["_block"] == lo]
     right_part = left_part if lo == hi else part[part["_block"] == hi]
     shared = np.intersect1d(left_part["feature"].to_numpy(), right_part["feature"].to_numpy())
-    left = _coded(left_part, shared)
-    right = left if lo == hi else _coded(right_part, shared)
-    first = np.searchsorted(right[1], left[1], side="left")
-    matches = np.searchsorted(right[1], left[1], side="right") - first
-    dense_work = len(left[0]) * len(right[0]) * len(shared)
-    if matches.sum() * SPARSE_COST < dense_work:
-        product = _sparse_product(left, right, first, matches)
-    else:
-        product = _dense_product(left, right, len(shared))
-    return left[0], right[0], product
-
-
-def _cosines(part: pd.DataFrame, lo: int, hi: int):
-    left, right, product = _sides(part, lo, hi)
-    return left, right, np.round(np.clip(product, -1.0, 1.0), DIGITS)
-
-
-def _best(keys, other_keys, cosines, k: int) -> pd.DataFrame:
-    """The k largest positive entries per row; among equals the lowest key first."""
-    order = np.argsort(-cosines, axis=1, kind="stable")[:, :k]
-    values = np.take_along_axis(cosines, order, axis=1)
-    kept = values > 0
-    return pd.DataFrame(
-        {
-            "row": np.repeat(keys, kept.sum(axis=1)),
-            "other": other_keys[order][kept],
-            "similarity": values[kept],
-        }
-    )
+    groups = np.arange(len(shared)) * 2654435761 % 2**32 * GROUPS >> 32
+    left = _tiles(_coded(left_part, shared), groups)
+    return left, left if lo == hi else _tiles(_coded(right_part, shared), groups), len(shared)
+
+
+def _products(part: pd.DataFrame, lo: int, hi: int, wanted=None):
+    """(left tile, right tile, product) of every pair of tiles, each pair once; ``wanted`` may
+    skip some. The closest pairs come first: a tile with itself, then by descending bound."""
+    left, right, features = _tiled_sides(part, lo, hi)
+    pairs = [(a, b) for i, a in enumerate(left) for b in (left[i:] if left is right else right)]
+    for a, b in sorted(pairs, key=lambda p: (p[0] is not p[1], -float(p[0].bounds @ p[1].bounds))):
+        if wanted is None or wanted(a, b):
+            yield a, b, _tile_product(a, b, features)
+
+
+def _cosine(product: np.ndarray) -> np.ndarray:
+    return np.round(np.clip(product, -1.0, 1.0), DIGITS)
+
+
+class _Best:
+    """The k largest positive cosines of each key so far; among equals the lowest other key first."""
+
+    def __init__(self, keys: np.ndarray, k: int):
+        self.keys, self.k = keys, k
+        self.others = np.full((len(keys), k), np.iinfo(np.int64).max)
+        self.values = np.zeros((len(keys), k))
+
+    def least(self, keys: np.ndarray) -> float:
+        """A cosine below it changes none of the given keys' lists."""
+        return self.values[np.searchsorted(self.keys, keys), -1].min(initial=1.0)
+
+    def add(self, keys: np.ndarray, other_keys: np.ndarray, cosines: np.ndarray) -> None:
+        at = np.searchsorted(self.keys, keys)
+        order = np.argsort(-cosines, axis=1, kind="stable")[:, : self.k]
+        found = np.take_along_axis(cosines, order, axis=1)
+        found[found <= 0] = 0
+        others = np.where(found > 0, other_keys[order], np.iinfo(np.int64).max)
+        values, others = np.hstack([self.values[at], found]), np.hstack([self.others[at], others])
+        by_key = np.argsort(others, axis=1, kind="stable")
+        values, others = np.take_along_axis(values, by_key, axis=1), np.take_along_axis(others, by_key, axis=1)
+        best = np.argsort(-values, axis=1, kind="stable")[:, : self.k]
+        self.values[at] = np.take_along_axis(values, best, axis=1)
+        self.others[at] = np.take_along_axis(others, best, axis=1)
+
+    def frame(self) -> pd.DataFrame:
+        kept = self.values > 0
+        return pd.DataFrame(
+            {"row": np.repeat(self.keys, kept.sum(axis=1)), "other": self.others[kept], "similarity": self.values[kept]}
+        )
+
+
+def best_of_blocks(part: pd.DataFrame, lo: int, hi: int, k: int) -> tuple[pd.DataFrame, int]:
+    """The k largest positive cosines per row between two blocks, and how many pairs of tiles were skipped."""
+    best, skipped = _Best(np.unique(part["row"].to_numpy()), k), 0
+
+    def wanted(a: _Tile, b: _Tile) -> bool:
+        nonlocal skipped
+        reach = float(a.bounds @ b.bounds) + 10**-DIGITS
+        worth = reach >= min(best.least(a.cells[0]), best.least(b.cells[0])) and reach > 2 * 10**-DIGITS
+        skipped += not worth
+        return worth
+
+    for a, b, product in _products(part, lo, hi, wanted):
+        cosines = _cosine(product)
+        if a is b:
+            np.fill_diagonal(cosines, 0.0)
+        best.add(a.cells[0], b.cells[0], cosines)
+        if a is not b:
+            best.add(b.cells[0], a.cells[0], cosines.T)
+    return best.frame(), skipped
 
 
 def top_positive(units: DataFrame, rows: int, cell_count: int, k: int) -> DataFrame:
@@ -165,14 +249,10 @@ def top_positive(units: DataFrame, rows: int, cell_count: int, k: int) -> DataFr
     (row, other, similarity); ties go to the lowest key."""
 
     def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        left, right, cosines = _cosines(part, *key)
-        if key[0] == key[1]:
-            np.fill_diagonal(cosines, 0.0)
-            return _best(left, right, cosines, k)
-        return pd.concat([_best(left, right, cosines, k), _best(right, left, cosines.T, k)])
+        return best_of_blocks(part, *key, k)[0]
 
     per_block = (
-        block_pairs(units, "row", row_blocks_for(rows, cell_count))
+        block_pairs(units, "row", row_blocks_for(rows, cell_count, cores(units.sparkSession)))
         .groupBy("_lo", "_hi")
         .applyInPandas(task, "row BIGINT, other BIGINT, similarity DOUBLE")
     )
@@ -189,21 +269,15 @@ def pair_statistics(units: DataFrame, rows: int, cell_count: int) -> DataFrame:
     ``rows`` vectors. Vectors without a cell take part with cosine 0."""
 
     def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        values = _pair_values(_cosines(part, *key)[2], key[0] == key[1])
-        if len(values) == 0:
-            return pd.DataFrame({"n": [], "s": [], "q": [], "lo": [], "hi": []})
-        return pd.DataFrame(
-            {
-                "n": [len(values)],
-                "s": [values.sum()],
-                "q": [(values * values).sum()],
-                "lo": [values.min()],
-                "hi": [values.max()],
-            }
-        )
+        found = []
+        for a, b, product in _products(part, *key):
+            values = _pair_values(_cosine(product), a is b)
+            if len(values):
+                found.append((len(values), values.sum(), (values * values).sum(), values.min(), values.max()))
+        return pd.DataFrame(found, columns=["n", "s", "q", "lo", "hi"])
 
     parts = (
-        block_pairs(units, "row", row_blocks_for(rows, cell_count))
+        block_pairs(units, "row", row_blocks_for(rows, cell_count, cores(units.sparkSession)))
         .groupBy("_lo", "_hi")
         .applyInPandas(task, "n BIGINT, s DOUBLE, q DOUBLE, lo DOUBLE, hi DOUBLE")
     )
@@ -268,16 +342,19 @@ def pair_histogram(units: DataFrame, rows: int, cell_count: int, bins: int) -> D
     low, high = found["Min"], found["Max"]
 
     def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        values = _pair_values(_cosines(part, *key)[2], key[0] == key[1])
-        if high == low:
-            at = np.full(len(values), bins // 2)
-        else:
-            at = np.minimum(np.floor((values - low) / (high - low) * bins), bins - 1)
-        numbers, counts = np.unique(at, return_counts=True)
-        return pd.DataFrame({"Bin": numbers.astype("int32"), "Pairs": counts})
+        counts = np.zeros(bins, np.int64)
+        for a, b, product in _products(part, *key):
+            values = _pair_values(_cosine(product), a is b)
+            if high == low:
+                counts[bins // 2] += len(values)
+            else:
+                at = np.minimum(np.floor((values - low) / (high - low) * bins), bins - 1)
+                counts += np.bincount(at.astype(np.int64), minlength=bins)
+        kept = np.flatnonzero(counts)
+        return pd.DataFrame({"Bin": kept.astype("int32"), "Pairs": counts[kept]})
 
     counted = (
-        block_pairs(units, "row", row_blocks_for(rows, cell_count))
+        block_pairs(units, "row", row_blocks_for(rows, cell_count, cores(units.sparkSession)))
         .groupBy("_lo", "_hi")
         .applyInPandas(task, "Bin INT, Pairs BIGINT")
         .groupBy("Bin")
@@ -319,19 +396,25 @@ def gram(cells: DataFrame, row: str, feature: str, value: str, rows: int, cell_c
     too, so that a row with a third of all cells is spread over the tasks; each
     task gives partial products and these are summed.
     """
-    row_blocks = blocks_for(rows, ROWS_PER_BLOCK)
-    feature_blocks = blocks_for(2 * cell_count, CELLS_PER_BLOCK * row_blocks)
+    row_blocks = blocks_for(rows, ROWS_PER_TILE)
+    pairs = row_blocks * (row_blocks + 1) // 2
+    feature_blocks = max(
+        blocks_for(2 * cell_count, CELLS_PER_BLOCK * row_blocks), blocks_for(cores(cells.sparkSession), pairs)
+    )
 
     def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        left, right, product = _sides(part, key[0], key[1])
-        if key[0] == key[1]:
-            product = np.triu(product)
-        a, b = np.nonzero(product)
+        found = []
+        for left, right, product in _products(part, key[0], key[1]):
+            if left is right:
+                product = np.triu(product)
+            a, b = np.nonzero(product)
+            ends = np.sort([left.cells[0][a], right.cells[0][b]], axis=0)
+            found.append((ends, product[a, b]))
         return pd.DataFrame(
             {
-                "a": np.minimum(left[a], right[b]),
-                "b": np.maximum(left[a], right[b]),
-                "part": product[a, b],
+                "a": np.concatenate([np.empty(0, np.int64), *[f[0][0] for f in found]]),
+                "b": np.concatenate([np.empty(0, np.int64), *[f[0][1] for f in found]]),
+                "part": np.concatenate([np.empty(0), *[f[1] for f in found]]),
             }
         )
 

@@ -6,6 +6,8 @@ arrays of at most 30 entries, so no step holds more than that per user.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from cinelake.functions.scalars import default_title, novelty_factor
 from cinelake.operators.matrix import DIGITS, Matrix, popularity
 from cinelake.operators.pairwise import top_positive
 from cinelake.operators.similarity import both_ways, centred_user_units
-from cinelake.session import materialize, task_count
+from cinelake.session import cores, materialize, task_count
 
 # Sizes and thresholds of the recommenders.
 SIMILAR_USERS = 20
@@ -27,6 +29,11 @@ POOL_SIZE = LIST_SIZE * 3
 # Cells a task takes on before they are multiplied by their neighbours.
 CELLS_PER_TASK = 250_000
 
+# Similarities of a tile, some 64 MB, and cells of a block of users that meet it in a task.
+NEAR_PER_TILE = 4_000_000
+CELLS_PER_BLOCK = 2_000_000
+OFFERS_PER_STEP = 2_000_000
+
 # Rows of three numbers up to which a counted table is broadcast, some 50 MB as a hash table.
 BROADCAST_ROWS = 1_000_000
 
@@ -41,20 +48,34 @@ def user_totals(matrix: Matrix) -> DataFrame:
     return matrix.cells.groupBy("Customer_Key").agg(F.sum("Minutes").alias("Total_Minutes"))
 
 
+def _lowest_users(matrix: Matrix, k: int) -> DataFrame:
+    """The ``k`` + 1 lowest user keys."""
+    return matrix.cells.select("Customer_Key").distinct().orderBy("Customer_Key").limit(k + 1)
+
+
+def _fillers(lowest: Column, near: Column, row: Column, k: int) -> Column:
+    """The lowest keys that fill up a list of ``near`` users to ``k``.
+
+    At most k of the lowest keys can be taken already (by the user or a positive
+    neighbour), so the k + 1 lowest keys hold every filler.
+    """
+    free = F.filter(lowest, lambda key: (key != row) & ~F.array_contains(near, key))
+    return F.slice(free, F.lit(1), F.greatest(F.lit(k) - F.size(near), F.lit(0)))
+
+
 def similar_users(matrix: Matrix, k: int = SIMILAR_USERS) -> DataFrame:
     """The k most similar users of each user, as (row, other, similarity).
 
     Negative similarity counts as 0. A user with fewer than k positive ones is
     filled up with the lowest keys at similarity 0; those weigh nothing in a score
-    but count as viewers. At most k of the lowest keys can be taken already (by the
-    user or a positive neighbour), so the k + 1 lowest keys hold every filler.
+    but count as viewers.
     """
     k = min(k, matrix.users - 1)
     if k < 1:
         return matrix.cells.sparkSession.createDataFrame([], "row BIGINT, other BIGINT, similarity DOUBLE")
-    positive = top_positive(centred_user_units(matrix), matrix.users, matrix.cell_count, k)
+    positive = positive_users(matrix, k)
     users = matrix.cells.select("Customer_Key").distinct()
-    lowest = users.orderBy("Customer_Key").limit(k + 1).agg(F.array_sort(F.collect_list("Customer_Key")))
+    lowest = _lowest_users(matrix, k).agg(F.array_sort(F.collect_list("Customer_Key")))
     per_user = positive.groupBy(F.col("row").alias("_row")).agg(
         F.collect_list(F.struct("other", "similarity")).alias("_near")
     )
@@ -64,21 +85,21 @@ def similar_users(matrix: Matrix, k: int = SIMILAR_USERS) -> DataFrame:
     listed = users.join(per_user, users["Customer_Key"] == per_user["_row"], "left").select(
         F.col("Customer_Key").alias("row"), near.alias("_near"), lowest.scalar().alias("_lowest")
     )
-    free = F.filter(
-        "_lowest",
-        lambda key: (key != F.col("row"))
-        & ~F.array_contains(F.transform("_near", lambda n: n["other"]), key),
-    )
+    others = F.transform("_near", lambda n: n["other"])
     fill = F.transform(
-        F.slice(free, F.lit(1), F.lit(k) - F.size("_near")),
+        _fillers(F.col("_lowest"), others, F.col("row"), k),
         lambda key: F.struct(key.alias("other"), F.lit(0.0).alias("similarity")),
     )
-    full = F.when(F.size("_near") < k, F.concat("_near", fill)).otherwise(F.col("_near"))
-    return listed.select("row", F.explode(full).alias("n")).select(
+    return listed.select("row", F.explode(F.concat("_near", fill)).alias("n")).select(
         "row", F.col("n.other").alias("other"), F.col("n.similarity").alias("similarity")
     )
 
 
+def positive_users(matrix: Matrix, k: int = SIMILAR_USERS) -> DataFrame:
+    """The users among the k most similar ones whose similarity is positive."""
+    return top_positive(centred_user_units(matrix), matrix.users, matrix.cell_count, k)
+
+
 def _scored(base: DataFrame) -> DataFrame:
     """Apply the novelty factor for the minutes the user already spent on the content."""
     own = F.coalesce("_own", F.lit(0.0))
@@ -97,19 +118,27 @@ def _own_minutes() -> Column:
     return F.max(F.when(F.col("similarity").isNull(), F.col("Minutes"))).alias("_own")
 
 
-def score_by_users(matrix: Matrix, neighbours: DataFrame) -> DataFrame:
+def score_by_users(matrix: Matrix, neighbours: DataFrame, k: int = SIMILAR_USERS) -> DataFrame:
     """Similarity-weighted mean minutes of the similar users who saw a content.
 
     Only users with 50 minutes or more get scores, and only contents that three
-    or more of their similar users saw. Each user also stands among the similar
+    or more of their k similar users saw. Each user also stands among the similar
     ones, without a similarity: that row brings along the own minutes, which
     would otherwise take a second join of all scores with the matrix.
+
+    Users of similarity 0, who fill up short lists, weigh nothing and are the same
+    few for all. They take no part in the join (rows of ``neighbours`` with
+    similarity 0 are not needed): a content lists which of the lowest keys saw it, and
+    a vote that lacks viewers counts those that fill up its user's list.
     """
+    k = min(k, matrix.users - 1)
     active = user_totals(matrix).filter(F.col("Total_Minutes") >= MIN_USER_MINUTES)
     selves = active.selectExpr("Customer_Key AS row", "Customer_Key AS other", _NOTHING)
-    asked = neighbours.join(active, neighbours["row"] == active["Customer_Key"], "left_semi").unionByName(selves)
+    positive = neighbours.filter(F.col("similarity") > 0).select("row", "other", "similarity")
+    asked = positive.join(active, positive["row"] == active["Customer_Key"], "left_semi").unionByName(selves)
     viewed = matrix.seen.withColumnRenamed("Customer_Key", "other")
     tasks = task_count(matrix.cells.sparkSession, matrix.users * SIMILAR_USERS, CELLS_PER_TASK)
+    asked = materialize(asked.repartition(tasks, "row"), "asked")
     votes = (
         asked.repartition(tasks, "row")
         .join(broadcast_if_small(viewed, matrix.cell_count), "other")
@@ -120,42 +149,133 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame) -> DataFrame:
             F.sum(F.col("similarity") * F.col("Minutes")).alias("_weighted"),
             _own_minutes(),
         )
+        .filter(F.col("_weight") > 0)
+    )
+    lowest = _lowest_users(matrix, k)
+    seen_by = (
+        matrix.seen.join(F.broadcast(lowest), "Customer_Key", "left_semi")
+        .groupBy(F.col("Content_Key").alias("_content"))
+        .agg(F.collect_list("Customer_Key").alias("_low_viewers"))
+    )
+    near = F.array_compact(F.collect_list(F.when(F.col("similarity").isNotNull(), F.col("other"))))
+    keys = lowest.agg(F.array_sort(F.collect_list("Customer_Key"))).scalar()
+    short = (
+        asked.groupBy(F.col("row").alias("_user"))
+        .agg(near.alias("_near"))
+        .filter(F.size("_near") < k)
+        .withColumn("_lowest", keys)
+        .select("_user", _fillers(F.col("_lowest"), F.col("_near"), F.col("_user"), k).alias("_fill"))
+    )
+    lacking = F.col("_viewers") < MIN_VIEWERS
+    counted = votes.join(short, (F.col("Customer_Key") == F.col("_user")) & lacking, "left").join(
+        seen_by, (F.col("Content_Key") == F.col("_content")) & lacking, "left"
     )
-    return _scored(votes.filter((F.col("_viewers") >= MIN_VIEWERS) & (F.col("_weight") > 0)))
+    filled = F.coalesce(F.size(F.array_intersect("_fill", "_low_viewers")), F.lit(0))
+    return _scored(counted.filter(F.col("_viewers") + F.greatest(filled, F.lit(0)) >= MIN_VIEWERS))
+
+
+_BEST = "array<struct<down:double,item:bigint,minutes:double>>"
+
+
+def _best_offers(k: int):
+    """For a block of users and a tile of similarities: of each (user, candidate) the best k of
+    the user's contents in the tile, and the minutes of each cell itself."""
+
+    def lists(starts: np.ndarray, total: int, down, item, minutes) -> pa.Array:
+        entry = pa.StructArray.from_arrays(
+            [pa.array(down), pa.array(item), pa.array(minutes)], ["down", "item", "minutes"]
+        )
+        return pa.ListArray.from_arrays(pa.array(np.r_[starts, total].astype(np.int32)), entry)
+
+    def task(cells: pa.Table, near: pa.Table) -> pa.Table:
+        user, item = cells["Customer_Key"].to_numpy(), cells["Content_Key"].to_numpy()
+        minutes = cells["Minutes"].to_numpy()
+        by = np.lexsort((item, user))
+        user, item, minutes = user[by], item[by], minutes[by]
+        none = np.empty(0)
+        out = [(user, item, minutes, lists(np.zeros(len(user), int), 0, none, none.astype(int), none))]
+        order = np.argsort(near["item"].to_numpy(), kind="stable")
+        offered_by = near["item"].to_numpy()[order]
+        candidate, similarity = near["other"].to_numpy()[order], near["similarity"].to_numpy()[order]
+        first = np.searchsorted(offered_by, item, "left")
+        count = np.searchsorted(offered_by, item, "right") - first
+        done = np.r_[0, np.cumsum(count)]
+        users = np.flatnonzero(np.r_[True, user[1:] != user[:-1], True][: len(user) + 1]) if len(user) else np.zeros(1, int)
+        at = 0  # a step takes whole users, so that no (user, candidate) is split
+        while at < len(users) - 1:
+            upto = int(np.searchsorted(done[users], done[users[at]] + OFFERS_PER_STEP, "right")) - 1
+            upto = min(max(upto, at + 1), len(users) - 1)
+            a, b = users[at], users[upto]
+            at = upto
+            own = np.repeat(np.arange(a, b), count[a:b])
+            place = np.arange(done[b] - done[a]) + np.repeat(first[a:b] - (done[a:b] - done[a]), count[a:b])
+            wanted, down = candidate[place], -similarity[place]
+            by = np.lexsort((item[own], down, wanted, user[own]))
+            own, wanted, down = own[by], wanted[by], down[by]
+            fresh = np.r_[True, (wanted[1:] != wanted[:-1]) | (user[own[1:]] != user[own[:-1]])][: len(own)]
+            starts = np.flatnonzero(fresh)
+            rank = np.arange(len(own)) - np.repeat(starts, np.diff(np.r_[starts, len(own)]))
+            kept = rank < k
+            own, wanted, down = own[kept], wanted[kept], down[kept]
+            starts = np.flatnonzero(fresh[kept])
+            out.append((user[own[starts]], wanted[starts], None, lists(starts, len(own), down, item[own], minutes[own])))
+        return pa.concat_tables(
+            pa.table(
+                {
+                    "Customer_Key": pa.array(u, pa.int64()),
+                    "Content_Key": pa.array(c, pa.int64()),
+                    "own": pa.nulls(len(u), pa.float64()) if o is None else pa.array(o),
+                    "best": best,
+                }
+            )
+            for u, c, o, best in out
+        )
+
+    return task
 
 
 def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) -> DataFrame:
     """Similarity-weighted mean minutes a user spent on the k seen contents most
     similar to a candidate; only positive similarity counts.
 
-    The cells are spread by user before they meet the similarities. When those
-    are small enough to broadcast, the ranking and the sums per user and
-    candidate need no further shuffle. A content is also listed next to itself,
-    without a similarity, which brings along the user's own minutes; that row
-    ranks first and makes room for one more.
+    Similarities are stored as tiles by the offering content, and cells are blocked by
+    user; a block meets a tile in one task, which sends on the best k per user and
+    candidate only. Those partial lists are merged per user and candidate. A cell goes to
+    one task, a tile to each block of users. What offers a task makes from its cells
+    stays there, a bounded number at a time.
     """
-    positive = both_ways(pairs.filter(F.col("similarity") > 0))
-    selves = positive.select("item").distinct().selectExpr("item", "item AS other", _NOTHING)
-    near = materialize(positive.unionByName(selves), "near")
-    tasks = task_count(matrix.cells.sparkSession, matrix.cell_count, CELLS_PER_TASK)
-    offers = (
-        matrix.seen.repartition(tasks, "Customer_Key")
-        .join(broadcast_if_small(near, near.count()), F.col("Content_Key") == F.col("item"))
-        .select("Customer_Key", F.col("other").alias("Content_Key"), "item", "similarity", "Minutes")
+    near = materialize(both_ways(pairs.filter(F.col("similarity") > 0)), "near")
+    spark = matrix.cells.sparkSession
+    tiles = max(1, -(-near.count() // NEAR_PER_TILE))
+    blocks = max(-(-matrix.cell_count // CELLS_PER_BLOCK), -(-cores(spark) // tiles))
+    tile = lambda key: F.pmod(F.xxhash64(key), F.lit(tiles))
+    cells = matrix.seen.select(
+        F.pmod(F.xxhash64("Customer_Key"), F.lit(blocks)).alias("block"), tile("Content_Key").alias("tile"),
+        "Customer_Key", "Content_Key", F.col("Minutes").cast("double").alias("Minutes"),
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
+    offers = near.select(every.alias("block"), tile("item").alias("tile"), "item", "other", "similarity")
+    partial = (
+        cells.groupBy("block", "tile")
+        .cogroup(offers.groupBy("block", "tile"))
+        .applyInArrow(
+            lambda left, right: _best_offers(k)(left, right),
+            f"Customer_Key BIGINT, Content_Key BIGINT, own DOUBLE, best {_BEST}",
+        )
     )
-    best = W.partitionBy("Customer_Key", "Content_Key").orderBy(F.desc_nulls_first("similarity"), "item")
-    allowed = F.when(F.first(F.col("similarity").isNull()).over(best), k + 1).otherwise(k)
-    base = (
-        offers.withColumns({"_rank": F.row_number().over(best), "_allowed": allowed})
-        .filter((F.col("_rank") <= k + 1) & (F.col("_rank") <= F.col("_allowed")))
-        .groupBy("Customer_Key", "Content_Key")
-        .agg(
-            F.sum("similarity").alias("_weight"),
-            F.sum(F.col("similarity") * F.col("Minutes")).alias("_weighted"),
-            _own_minutes(),
+    merged = partial.groupBy("Customer_Key", "Content_Key").agg(
+        F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("_best"), F.max("own").alias("_own")
+    )
+    zero = F.lit(0.0)
+    return _scored(
+        merged.filter(F.size("_best") > 0).select(
+            "Customer_Key",
+            "Content_Key",
+            F.aggregate("_best", zero, lambda total, x: total - x["down"]).alias("_weight"),
+            F.aggregate("_best", zero, lambda total, x: total - x["down"] * x["minutes"]).alias("_weighted"),
+            "_own",
         )
     )
-    return _scored(base.filter(F.col("_weight") > 0))
 
 
 def popular_contents(matrix: Matrix, size: int = POOL_SIZE) -> DataFrame:

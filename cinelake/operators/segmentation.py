@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.functions.scalars import to_key, to_number
-from cinelake.operators.pairwise import MAX_TASKS, ROWS_PER_BLOCK, blocks_for
+from cinelake.operators.pairwise import MAX_TASKS, blocks_for
 from cinelake.session import materialize
 from cinelake.sources.readers import require_rows, resolve_columns
 from cinelake.sources.schemas import EVENT_ALIASES
 
+ROWS_PER_BLOCK = 2048  # a task holds the distances between two blocks
+
 FEATURES = ["total_eventos", "total_minutos", "promedio_minutos"]
 
 # Settings and names of the segments.

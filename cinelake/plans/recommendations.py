@@ -18,7 +18,7 @@ TEXT = "Contenido-Tokenizacion"
 
 
 def user_user(matrix: Matrix) -> DataFrame:
-    neighbours = recommend.similar_users(matrix)
+    neighbours = recommend.positive_users(matrix)
     return recommend.top_lists(recommend.score_by_users(matrix, neighbours), matrix)
 
 

@@ -140,6 +140,7 @@ def test_small_blocks_give_the_same_result(spark, monkeypatch):
 
     whole = summary()
     monkeypatch.setattr(pairwise, "ROWS_PER_BLOCK", 7)
+    monkeypatch.setattr(pairwise, "ROWS_PER_TILE", 3)
     monkeypatch.setattr(pairwise, "CELLS_PER_BLOCK", 40)
     split = summary()
     assert split[0] == whole[0] and split[2:] == whole[2:]
@@ -159,11 +160,81 @@ def test_block_products(monkeypatch, same, density):
     )
     monkeypatch.setattr(pairwise, "FEATURES_PER_STEP", 6)
     monkeypatch.setattr(pairwise, "PRODUCTS_PER_STEP", 11)
+    monkeypatch.setattr(pairwise, "ROWS_PER_TILE", 4)
     for cost in (0, 10**9):
         monkeypatch.setattr(pairwise, "SPARSE_COST", cost)
-        left, right, product = pairwise._sides(part, 0, 0 if same else 1)
-        assert list(left) == sorted({3 * r for r in row if same or r % 2 == 0})
-        assert product == pytest.approx(full[left // 3] @ full[right // 3].T)
+        pairs = 0
+        for left, right, product in pairwise._products(part, 0, 0 if same else 1):
+            a, b = left.cells[0], right.cells[0]
+            assert product == pytest.approx(full[a // 3] @ full[b // 3].T)
+            # no product exceeds the bound that the groups of features give
+            assert (np.abs(product) <= left.bounds @ right.bounds + 1e-9).all()
+            pairs += len(a) * (len(a) + 1) // 2 if left is right else len(a) * len(b)
+        rows = len({r for r in row if same or r % 2 == 0})
+        assert pairs == (rows * (rows + 1) // 2 if same else rows * len({r for r in row if r % 2}))
+
+
+def test_tiles_that_cannot_reach_a_list_are_skipped(monkeypatch):
+    """Five flocks of users, each with a favourite content: rows of a flock are alike, those of others are not."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(pairwise, "ROWS_PER_TILE", 20)
+    full = np.zeros((100, 40))
+    for r in range(100):
+        full[r, 8 * (r % 5) : 8 * (r % 5) + 8] = rng.uniform(1, 2, 8)
+        full[r, 8 * (r % 5)] = 9
+        full[r, (8 * (r % 5) + 11) % 40] = 0.1
+    full /= np.sqrt((full * full).sum(axis=1))[:, None]
+    row, feature = np.nonzero(full)
+    part = pd.DataFrame({"row": row, "feature": feature, "value": full[row, feature], "_block": 0})
+    monkeypatch.setattr(pairwise, "GROUPS", 2048)
+    found, skipped = pairwise.best_of_blocks(part, 0, 0, 3)
+    sims = np.round(np.clip(full @ full.T, -1, 1), 9)
+    np.fill_diagonal(sims, 0)
+    expected = [(r, c, sims[r, c]) for r in range(100) for c in sorted(range(100), key=lambda c: (-sims[r, c], c))[:3]]
+    got = found.sort_values(["row", "similarity", "other"], ascending=[True, False, True])
+    assert [(a, b) for a, b, _ in got.itertuples(index=False)] == [(a, b) for a, b, _ in expected]
+    assert skipped >= 8
+
+
+@pytest.mark.parametrize("rows, cells, tasks", [(1500, 73_000, 8), (10**8, 10**10, 1000), (3, 9, 8), (0, 0, 8), (10**6, 10**9, 64)])
+def test_copies_of_a_cell_are_bounded(rows, cells, tasks):
+    blocks = pairwise.row_blocks_for(rows, cells, tasks)
+    assert blocks * (blocks + 1) // 2 >= min(tasks, rows * (rows + 1) // 2)
+    by_size = max(-(-rows // pairwise.ROWS_PER_BLOCK), -(-cells // pairwise.CELLS_PER_BLOCK), 1)
+    assert blocks <= max(by_size, (2 * tasks) ** 0.5 + 1)
+
+
+def test_copies_in_the_plan(spark):
+    dense, touched = random_matrix(7, users=30)
+    matrix = build_matrix(events_of(spark, dense, touched))
+    units = similarity.centred_user_units(matrix)
+    blocks = pairwise.row_blocks_for(matrix.users, matrix.cell_count, 8)
+    assert pairwise.block_pairs(units, "row", blocks).count() == blocks * units.count()
+    plan = pairwise.top_positive(units, matrix.users, matrix.cell_count, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_merged_lists_of_item_tiles(spark, monkeypatch):
+    """Partial lists of several tiles and steps give the same scores as one."""
+    dense, touched = random_matrix(17, users=25, items=24, density=0.5)
+    matrix = build_matrix(events_of(spark, dense, touched))
+    monkeypatch.setattr(recommend, "NEAR_PER_TILE", 30)
+    monkeypatch.setattr(recommend, "CELLS_PER_BLOCK", 50)
+    monkeypatch.setattr(recommend, "OFFERS_PER_STEP", 20)
+    assert_same_lists(lists_of(plans.item_item(matrix)), by_items(dense, cosine(centre(dense).T)))
+
+
+def test_fillers_are_no_join_rows(spark):
+    """Fillers count as viewers although only positive neighbours are asked."""
+    for seed in (21, 22, 23):
+        dense, touched = random_matrix(seed, users=24, items=8, density=0.2)
+        matrix = build_matrix(events_of(spark, dense, touched))
+        positive = recommend.positive_users(matrix)
+        assert positive.filter("similarity <= 0").count() == 0
+        scored = recommend.score_by_users(matrix, positive).collect()
+        whole = recommend.score_by_users(matrix, recommend.similar_users(matrix)).collect()
+        assert sorted(map(tuple, scored)) == sorted(map(tuple, whole))
+        assert_same_lists(lists_of(plans.user_user(matrix)), by_users(dense))
 
 
 def test_a_hot_content_leaves_no_pairs_in_the_shuffle(spark):
