@@ -12,8 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MATCHES_PER_KEY = 10_000
-
 
 @dataclass(frozen=True)
 class Dim:
@@ -49,28 +47,40 @@ def star_join(fact: DataFrame, dims: list[Dim], null_safe: bool = True) -> DataF
     return fact
 
 
-def nest_lookup(
+def nest_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, target: str) -> DataFrame:
+    """Left outer look-up that stores the matches as an array of structs.
+
+    For bridges and dimensions, whose matches per key fit a row. Where only numbers or the
+    first of the matches are wanted, ``lookup_summary`` gets by without the array.
+    """
+    nested = right.groupBy(F.col(f"`{right_key}`").alias("_nest_key")).agg(
+        F.array_sort(F.collect_list(F.struct("*"))).alias(target)
+    )
+    joined = left.join(nested, same_key(left[f"`{left_key}`"], nested["_nest_key"]), "left")
+    return joined.drop("_nest_key").withColumn(target, F.coalesce(F.col(target), F.array()))
+
+
+def lookup_summary(
     left: DataFrame,
     right: DataFrame,
     left_key: str,
     right_key: str,
-    target: str,
-    bound: int = MATCHES_PER_KEY,
+    measures: dict[str, Column],
+    without: dict[str, Column] | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
-    """Left outer look-up that stores the matches as an array of structs.
+    """Left outer look-up that takes aggregates of the matches instead of the matches.
 
-    Meant for bridges and dimensions. The matches per key are counted first and
-    must stay under ``bound``; a fact table belongs in a semi- or anti-join.
+    ``measures`` are aggregates over the matching rows: how many there are, how many pass
+    a condition, the first by some order. They are combined in the map tasks, so a key
+    with any number of matches sends one row per task. ``without`` has the values of a
+    row that finds nothing, 0 for a count.
     """
-    key = F.col(f"`{right_key}`")
-    widest = right.groupBy(key.alias("k")).count().agg(F.max("count")).first()[0] or 0
-    if widest > bound:
-        raise ValueError(f"{widest} matches for one value of {right_key}: too many to nest")
-    nested = right.groupBy(key.alias("_nest_key")).agg(
-        F.array_sort(F.collect_list(F.struct("*"))).alias(target)
+    per_key = right.groupBy(F.col(f"`{right_key}`").alias("_summary_key")).agg(
+        *[measure.alias(name) for name, measure in measures.items()]
     )
-    joined = left.join(nested, same_key(left[f"`{left_key}`"], nested["_nest_key"]), "left")
-    return joined.drop("_nest_key").withColumn(target, F.coalesce(F.col(target), F.array()))
+    joined = left.join(per_key, same_key(left[f"`{left_key}`"], per_key["_summary_key"], null_safe), "left").drop("_summary_key")
+    return joined.withColumns({name: F.coalesce(F.col(name), value) for name, value in (without or {}).items()})
 
 
 def unwind(df: DataFrame, column: str) -> DataFrame:

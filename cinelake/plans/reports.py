@@ -92,19 +92,29 @@ def views_by_country_category(
 def top_customer_providers(
     events: DataFrame, customers: DataFrame, providers: DataFrame, n: int = TOP_PAIRS
 ) -> DataFrame:
-    """The ``n`` customer and provider pairs with most events."""
+    """The ``n`` customer and provider pairs with most events.
+
+    Pairs are ranked by their keys alone; names are fetched for those that are left. A key
+    that a dimension holds twice doubles the row, so the rows are cut once more.
+    """
     pairs = events.groupBy("Customer Key", "Provider Key").agg(
         F.count("*").alias("Total_Eventos"), total("Streams Count").alias("Total_Streams")
     )
-    joined = star_join(
-        pairs,
+    order = [F.desc("Total_Eventos"), F.desc("Total_Streams"), "Customer Key", "Provider Key"]
+    customer_keys = customers.select(F.col("Key").alias("_customer"))
+    provider_keys = providers.select(F.col("Key").alias("_provider"))
+    known = pairs.join(customer_keys, F.col("Customer Key").eqNullSafe(F.col("_customer")), "left_semi").join(
+        provider_keys, F.col("Provider Key").eqNullSafe(F.col("_provider")), "left_semi"
+    )
+    named = star_join(
+        known.orderBy(*order).limit(n),
         [
             Dim(customers, "Customer Key", take={"First Name": "_first", "Last Name": "_last"}),
             Dim(providers, "Provider Key", take={"Name": "Servidor"}),
         ],
     )
     return (
-        joined.orderBy(F.desc("Total_Eventos"), F.desc("Total_Streams"), "Customer Key", "Provider Key")
+        named.orderBy(*order)
         .limit(n)
         .select(
             full_name(F.col("_first"), F.col("_last")).alias("Cliente"),

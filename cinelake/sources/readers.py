@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import logging
 import os
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,24 +20,53 @@ CSV_OPTIONS = {
     "header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
 }
 
+# What a missing field is read as, and no text is: else the empty text, in quotes, would be missing too.
+_MISSING = "\x00missing\x00"
+
 
 def read_table(
     spark: SparkSession, path: str, schema: str | T.StructType | None = None, kind: str | None = None
 ) -> DataFrame:
     """Read a Parquet, CSV or JSON path, told apart by ``kind`` or its extension (Parquet if none).
 
-    JSON is one record per line. CSV fields may hold line breaks, so a CSV file is read by one task.
+    JSON is one record per line. CSV fields may hold line breaks, so a CSV file is read by one
+    task; ``read_csv_lines`` reads the form that splits.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     extension = os.path.splitext(path.rstrip("/"))[1].lower()
     kind = kind or extension.removeprefix(".")
     if kind == "csv":
-        return reader.options(**CSV_OPTIONS, multiLine="true").csv(path)
+        return reader.options(**CSV_OPTIONS, multiLine="true", nullValue=_MISSING).csv(path)
     if kind == "json":
         return reader.json(path)
     return reader.parquet(path)
 
 
+def escape_lines(text: Column) -> Column:
+    """Text without line breaks: they, and the backslash, are spelled with a backslash."""
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescape_lines(text: Column) -> Column:
+    """The text that ``escape_lines`` spelled: pairs of backslashes part it, what is between has the others."""
+    between = F.split(text, r"\\\\", -1)
+    spelled = F.transform(
+        between, lambda part: F.replace(F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    )
+    return F.array_join(spelled, "\\")
+
+
+def on_texts(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    texts = {f.name: change(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.withColumns(texts) if texts else df
+
+
+def read_csv_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """Read what ``write_csv_lines`` wrote. A record is a line, so large files are split over the tasks."""
+    return on_texts(spark.read.schema(schema).options(**CSV_OPTIONS, nullValue=_MISSING).csv(path), unescape_lines)
+
+
 def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """Read files that hold one JSON array of records each.
 
@@ -45,15 +76,28 @@ def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType)
     return spark.read.option("multiLine", True).schema(schema).json(path)
 
 
+def _fits(found: T.StructType, wanted: T.StructType) -> bool:
+    return {f.name.lower() for f in wanted} <= {f.name.lower() for f in found}
+
+
 def read_first_available(
     spark: SparkSession, paths: list[str], schema: str | T.StructType
 ) -> DataFrame:
-    """First path that can be read; a warning per miss, and an empty table when none can."""
+    """First path that can be read and has a row; a warning per miss, and an empty table when
+    none has. One row of each candidate is read ahead, so a missing, damaged or empty file,
+    or one without the columns asked for, falls through to the next."""
+    wanted = spark.createDataFrame([], schema).schema
     for path in paths:
         try:
-            return read_table(spark, path, schema)
-        except AnalysisException as miss:
-            log.warning("cannot read %s: %s", path, miss.getCondition())
+            if not path.rstrip("/").lower().endswith(".csv") and not _fits(read_table(spark, path).schema, wanted):
+                log.warning("cannot read %s: columns are missing", path)
+                continue
+            table = read_table(spark, path, schema)
+            if not table.isEmpty():
+                return table
+            log.warning("cannot read %s: it has no rows", path)
+        except (PySparkException, Py4JJavaError) as miss:
+            log.warning("cannot read %s: %s", path, str(miss).split("\n")[0])
     return spark.createDataFrame([], schema)
 
 

@@ -172,6 +172,33 @@ class RetailStar:
             )
         )
 
+    def date(self) -> DataFrame:
+        days = self.raw("orders").select(F.col("o_orderdate").cast("date").alias("_day")).distinct()
+        return days.select(
+            date_key(F.col("_day")).alias("Key"), F.col("_day").cast("string").alias("Date"),
+            F.year("_day").alias("Year"), F.month("_day").alias("Month"), F.dayofmonth("_day").alias("Day"),
+        )
+
+    def language(self) -> DataFrame:
+        used = self.raw("documents").select(F.col("lang").alias("ISO")).where("lang IS NOT NULL").distinct()
+        return used.select(F.crc32("ISO").alias("Key"), F.col("ISO").alias("ID"), "ISO", F.upper("ISO").alias("Name"))
+
+    def payment_method(self) -> DataFrame:
+        kinds = self.raw("orders").select(F.col("o_orderpriority").alias("Card Type")).distinct()
+        return kinds.select(F.crc32("Card Type").alias("Key"), F.crc32("Card Type").alias("Card ID"), "Card Type")
+
+    def talent(self) -> DataFrame:
+        return self.raw("supplier").select(
+            F.col("s_suppkey").alias("Key"), F.col("s_suppkey").alias("Actor ID"),
+            F.substring_index("s_name", "#", 1).alias("First Name"), F.substring_index("s_name", "#", -1).alias("Last Name"),
+        )
+
+    def content_talent(self) -> DataFrame:
+        """Who takes part in which content; the character is not known for all."""
+        pairs = self.raw("lineitem").select(F.col("l_partkey").alias("Content Key"), F.col("l_suppkey").alias("Talent Key"))
+        role = F.when(F.col("Talent Key") % 2 == 0, F.concat(F.lit("role "), F.col("Content Key").cast("string")))
+        return pairs.distinct().withColumn("Character", role)
+
     def viewing(self) -> DataFrame:
         """Viewing minutes of a user on a content, from the click-stream table."""
         return self.raw("events").select(

@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.operators.cleaning import clean_nan, drop_all_null_columns
-from cinelake.sources.readers import CSV_OPTIONS, read_table
+from cinelake.operators.cleaning import clean_nan
+from cinelake.sources.readers import CSV_OPTIONS, escape_lines, on_texts
 
 log = logging.getLogger(__name__)
 
@@ -29,14 +29,38 @@ def _dates_as_text(df: DataFrame) -> DataFrame:
     return df.select(*[spell(f) for f in df.schema.fields])
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """Line-wise UTF-8 JSON: NULL and NaN fields left out, dates spelled as text."""
-    _dates_as_text(clean_nan(df)).write.mode("overwrite").option("ignoreNullFields", True).json(path)
+def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write ``df`` and tell its rows, counted on their way into the files."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Quotes inside quoted fields are doubled, and blanks at the edges kept, as other tools expect."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def write_json(df: DataFrame, path: str) -> int:
+    """Line-wise UTF-8 JSON: NULL and NaN fields left out, dates spelled as text. Returns the rows."""
+    return _counted(
+        _dates_as_text(clean_nan(df)), lambda out: out.write.mode("overwrite").option("ignoreNullFields", True).json(path)
+    )
+
+
+def write_csv(df: DataFrame, path: str) -> int:
+    """Quotes inside quoted fields are doubled, and blanks at the edges kept, as other tools
+    expect; the empty text is a pair of quotes, a missing field nothing. Returns the rows."""
+    return _counted(df, lambda out: out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path))
+
+
+def write_csv_lines(df: DataFrame, path: str) -> int:
+    """CSV with one line per record: line breaks inside texts are escaped, so that files split
+    when ``read_csv_lines`` reads them. Returns the rows."""
+    return write_csv(on_texts(df, escape_lines), path)
+
+
+def write_json_arrays(df: DataFrame, path: str, key: str, rows_per_file: int = 10_000) -> None:
+    """Files that hold one JSON array of about ``rows_per_file`` records each, under ``path``."""
+    files = max(1, -(-df.count() // rows_per_file))
+    bucket = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(files)).alias("_file")
+    arrays = df.groupBy(bucket).agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("value"))
+    arrays.repartition("_file").write.mode("overwrite").partitionBy("_file").text(path)
 
 
 def _run_all(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) -> DataFrame:
@@ -53,16 +77,25 @@ def _run_all(spark: SparkSession, jobs: dict[str, Callable[[], int | None]]) ->
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def export_tables(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str) -> DataFrame:
-    """Clean every table and write it as JSON under its own name, skipping empty ones."""
+    """Clean every table and write it as JSON under its own name, skipping empty ones.
+
+    Each table is computed once: the writer counts its rows and leaves out what is
+    missing, columns without any value among it, and files without rows are taken away.
+    """
 
     def job(name: str, df: DataFrame) -> Callable[[], int | None]:
         def run() -> int | None:
-            if df.isEmpty():
-                return None
             path = f"{out_dir}/{name}"
-            write_json(drop_all_null_columns(df), path)
-            return spark.read.text(path).count()
+            rows = write_json(df, path)
+            if not rows:
+                _remove(spark, path)
+            return rows or None
 
         return run
 
@@ -72,15 +105,6 @@ def export_tables(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
 def export_datasets(
     spark: SparkSession, datasets: dict[str, Callable[[], DataFrame]], out_dir: str
 ) -> DataFrame:
-    """Build every dataset and write it as CSV under its own name."""
-
-    def job(name: str, build: Callable[[], DataFrame]) -> Callable[[], int]:
-        def run() -> int:
-            df = build()
-            path = f"{out_dir}/{name}"
-            write_csv(df, path)
-            return read_table(spark, path, df.schema, "csv").count()
-
-        return run
-
-    return _run_all(spark, {name: job(name, build) for name, build in datasets.items()})
+    """Build every dataset and write it as CSV under its own name, once; the writer counts its rows."""
+    jobs = {name: (lambda name=name, build=build: write_csv(build(), f"{out_dir}/{name}")) for name, build in datasets.items()}
+    return _run_all(spark, jobs)

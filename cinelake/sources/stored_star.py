@@ -71,6 +71,21 @@ class StoredStar:
     def availability(self) -> DataFrame:
         return self.table("availability")
 
+    def date(self) -> DataFrame:
+        return self.table("date")
+
+    def language(self) -> DataFrame:
+        return self.table("language")
+
+    def payment_method(self) -> DataFrame:
+        return self.table("payment_method")
+
+    def talent(self) -> DataFrame:
+        return self.table("talent")
+
+    def content_talent(self) -> DataFrame:
+        return self.table("content_talent")
+
     # the narrower views of the events that single plans read
     def content_event(self) -> DataFrame:
         return self.event()
