@@ -39,9 +39,9 @@ JOIN cust c ON ck = c."Key" JOIN provider p ON pk = p."Key"
 ORDER BY "Total_Eventos" DESC, "Total_Streams" DESC, ck, pk LIMIT 20"""
 
 Q5 = """
-SELECT g."Country" AS "Pais", g."City" AS "Ciudad", round(sum("Amount"), 2) AS "Ingreso_Total",
-       count(*) AS "Total_Pagos", round(sum("Tax Amount"), 2) AS "Total_Impuestos",
-       round(sum("Discount Amount"), 2) AS "Total_Descuentos"
+SELECT g."Country" AS "Pais", g."City" AS "Ciudad", round_even(sum("Amount"), 2) AS "Ingreso_Total",
+       count(*) AS "Total_Pagos", round_even(sum("Tax Amount"), 2) AS "Total_Impuestos",
+       round_even(sum("Discount Amount"), 2) AS "Total_Descuentos"
 FROM payment JOIN cust c ON "Customer Key" = c."Key" JOIN geography g ON c."Geography Key" = g."Key"
 GROUP BY 1, 2"""
 
