@@ -1,32 +1,38 @@
 """MinHash near-duplicates by chosen-path set similarity join.
 
 Documents with equal shingle sets are one class. Every class gets ``SKETCH`` minwise
-tokens. In each of ``trees`` independent trees the root branches by one of them; a node
+tokens and ``BINS`` bytes, each a hash of the least shingle of one part of the hash range.
+In each of ``trees`` independent trees the root branches by one token; a node
 with more than ``SMALL`` classes branches again by tokens chosen from its own path, two
 at a time, so that a similar pair goes on in at least one of them. The classes of a
-small node are compared with each other: pairs whose sketches agree as often as
+small node are compared with each other: pairs whose bytes agree as often as
 similar ones do (five deviations of slack) are confirmed on their full shingle sets.
 
-A node that is still large at the last level holds copies that minwise tokens hardly
-part. Its classes are compared with one of them, the centre of a star, and those left in
-another component than most of the node are compared with the whole node in blocks. So
-no task sees a large node whole.
+A node that holds more than ``DENSE`` of its parent is not branched further: minwise tokens hardly part
+it. Its most central class becomes the centre of a star, and the classes left in
+another component than most of the node are compared with the whole node by tiles of at
+most ``TILE`` classes a side. So rows grow by 2 x ``DENSE`` a level at most, a tree is as deep as
+its nodes need, and no task sees a large node whole. The centre is chosen by a sample of the
+node; it decides on the work only, never on the links.
 
 Links are confirmed in two steps, as only components are asked for: first one candidate
 of each class, then every candidate whose ends are still in different components.
 
-A pair at the threshold s is missed with about (1 - s(1-(1-s)^2)^(levels-1))^trees at
-most: under 1e-5 for 0.8 and ten trees.
+A pair at the threshold s survives a tree with at least s(1 - q), q = (1 - s(1 - q))^2 being
+the chance that both branches of a node lose it, at any depth: 0.75 for 0.8, so ten trees
+miss it with a chance of 1e-6.
 
 NULL texts and texts without words have an empty set and link with nothing; a text of
-fewer words than a shingle is one shingle. Repeated rows and ids are kept as they are.
+fewer words than a shingle is one shingle. Repeated rows and ids are kept as they are. Very
+long texts are cut into shingles whole. An empty table gives an empty result; other columns
+of any name are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +41,11 @@ from pyspark.sql import functions as F
 
 from cinelake.llm.common import WordHashes, mixed, texts_of, windows
 from cinelake.llm.components import components
-from cinelake.session import materialize
+from cinelake.session import materialize, task_count
 
-SKETCH, SMALL, TREES, LEVELS, STARS = 64, 48, 10, 2, 2
+SKETCH, SMALL, TREES, DENSE = 64, 48, 10, 0.6
+BINS, COARSE = 256, 64
+TILE, REFERENCES = 4096, 32
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
 
@@ -58,6 +66,29 @@ def sketch_of(shingles: np.ndarray) -> np.ndarray:
     return (mixed(out) >> np.uint64(32)).astype(np.uint32)
 
 
+def bytes_of(shingles: np.ndarray) -> np.ndarray:
+    """A byte for each of ``BINS`` parts of the hash range: 1 to 255 from the part's least
+    shingle, 0 where the set has none there. ``shingles`` are sorted, so parts are runs."""
+    parts = (shingles >> np.uint64(64 - (BINS - 1).bit_length())).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else parts
+    out = np.zeros(BINS, np.uint8)
+    out[parts[first]] = mixed(shingles[first]) % np.uint64(255) + np.uint64(1)
+    return out
+
+
+def alike(own: np.ndarray, others: np.ndarray, share: float) -> np.ndarray:
+    """Numbers of the rows of ``others`` that agree with ``own`` as often as a set of similarity
+    ``share`` does, less five deviations. Parts empty in both sets tell nothing and do not count."""
+    at = np.arange(len(others))
+    for some in (slice(0, COARSE), slice(0, BINS)):
+        mine, theirs = own[some], others[at][:, some]
+        empty = (theirs[:, mine == 0] == 0).sum(axis=1)
+        told = len(mine) - empty
+        agree = (theirs == mine).sum(axis=1) - empty
+        at = at[agree >= told * share - 5 * np.sqrt(told * share * (1 - share))]
+    return at
+
+
 def _profiles(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -70,7 +101,7 @@ def _profiles(width: int):
                 [batch.column(batch.schema.names.index(n)) for n in names]
                 + [
                     pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()),
-                    pa.array([s and s[::4] for s in sketches], pa.binary()),
+                    pa.array([bytes_of(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
                 [*names, "n_shingles", "key", "sketch", "brief"],
             )
@@ -83,16 +114,15 @@ def _token(sketch: Column, at: Column) -> Column:
     return F.substring(sketch, at * 4 + 1, F.lit(4))
 
 
-def _agreeing(least: int):
-    """Pairs of a node's classes whose sketches agree in at least ``least`` tokens.
-    Rows come sorted by node; a node has at most ``SMALL`` rows."""
+def _agreeing(share: float):
+    """Pairs of a node's classes whose bytes agree. Rows come sorted by node; a node has at
+    most ``SMALL`` rows."""
 
     def pairs(rows: list[tuple[int, bytes, bytes]]) -> Iterator[tuple[bytes, bytes]]:
         if len(rows) > 1:
-            tokens = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), SKETCH)
+            briefs = _matrix([r[2] for r in rows])
             for i in range(len(rows) - 1):
-                alike = (tokens[i + 1 :] == tokens[i]).sum(axis=1) >= least
-                for j in np.flatnonzero(alike).tolist():
+                for j in alike(briefs[i], briefs[i + 1 :], share).tolist():
                     yield min(rows[i][1], rows[i + 1 + j][1]), max(rows[i][1], rows[i + 1 + j][1])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,23 +140,80 @@ def _agreeing(least: int):
     return run
 
 
+def _matrix(briefs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(briefs), np.uint8).reshape(len(briefs), BINS)
+
+
 def _pair_batch(pairs: Iterable[tuple[bytes, bytes]]) -> pa.RecordBatch:
     a, b = zip(*pairs) if pairs else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
 
-def _strangers(least: int):
-    """Pairs of a class and the classes of a block in other components, sketches agreeing."""
+def _usual(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most frequent byte of every part over a node's few references."""
+    for batch in batches:
+        modes = []
+        for briefs in batch.column("briefs").to_pylist():
+            values = _matrix(briefs)
+            modes.append(bytes(int(np.bincount(part).argmax()) for part in values.T))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(modes, pa.binary())], ["node", "usual"])
+
+
+def _central(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many parts a class agrees with its node's usual bytes."""
+    for batch in batches:
+        agree = [0] * len(batch)
+        if len(batch):
+            own, usual = (_matrix(batch.column(c).to_pylist()) for c in ("brief", "usual"))
+            agree = (own == usual).sum(axis=1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(agree, pa.int32()), batch.column("key")], ["node", "agree", "key"]
+        )
+
+
+def _near_centre(share: float):
+    """Pairs of a class and its node's centre whose bytes agree."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("key", "brief", "centre", "centre_brief")))
+            yield _pair_batch(
+                [(a, b) for a, own, b, other in rows if len(alike(_matrix([own])[0], _matrix([other]), share))]
+            )
+
+    return run
+
+
+def _tiled(share: float):
+    """Pairs of a tile's strangers and members in other components whose bytes agree. Rows come
+    sorted by (node, slice, block), the strangers of a tile first, at most about ``TILE`` of them;
+    of two strangers the one with the lesser key asks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile: tuple | None = None
+        asking: list[tuple[bytes, bytes, bytes]] = []
+        for batch in batches:
+            node, piece, block, asks, odd, key, root, brief = (c.to_pylist() for c in batch.columns)
             out: set[tuple[bytes, bytes]] = set()
-            for key, root, brief, block in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(brief, np.uint8)
-                others = np.frombuffer(b"".join(x["brief"] for x in block), np.uint8).reshape(len(block), SKETCH)
-                for j in np.flatnonzero((others == own).sum(axis=1) >= least).tolist():
-                    if block[j]["root"] != root:
-                        out.add((min(key, block[j]["key"]), max(key, block[j]["key"])))
+            start = 0
+            while start < len(batch):
+                here = (node[start], piece[start], block[start])
+                if here != tile:
+                    tile, asking = here, []
+                end = start
+                while end < len(batch) and (node[end], piece[end], block[end]) == here:
+                    if asks[end]:
+                        asking.append((key[end], root[end], brief[end]))
+                        start = end + 1
+                    end += 1
+                if start < end:
+                    members = _matrix(brief[start:end])
+                    for own_key, own_root, own in asking:
+                        for j in alike(np.frombuffer(own, np.uint8), members, share).tolist():
+                            at = start + j
+                            if root[at] != own_root and not (odd[at] and key[at] < own_key):
+                                out.add((min(own_key, key[at]), max(own_key, key[at])))
+                start = end
             yield _pair_batch(out)
 
     return run
@@ -159,36 +246,37 @@ class _Join:
 
     def __init__(self, classes: DataFrame, texts: DataFrame, width: int, share: tuple[int, int], trees: int):
         self.classes, self.texts, self.width, self.share, self.trees = classes, texts, width, share, trees
-        s = share[0] / share[1]
-        self.least = max(1, math.floor(SKETCH * s - 5 * math.sqrt(SKETCH * s * (1 - s))))
+        self.similarity = share[0] / share[1]
         self.spark = classes.sparkSession
 
     def paths(self) -> tuple[DataFrame, DataFrame]:
-        """(candidate pairs of small nodes, rows (node, key) of nodes large at the last level)."""
+        """(candidate pairs of small nodes, rows (node, key, size) of dense ones)."""
         roots = [F.xxhash64(F.lit(t), _token(F.col("sketch"), F.lit(t * 6 % SKETCH))) for t in range(self.trees)]
-        rows = self.classes.select("key", F.explode(F.array(*roots)).alias("node"))
-        pairs = None
-        for level in range(LEVELS):
+        rows = self.classes.select("key", F.lit(self.classes.count()).alias("parent"), F.explode(F.array(*roots)).alias("node"))
+        pairs, dense = [], []
+        while True:
             rows = materialize(rows, "paths")
-            shared = materialize(rows.groupBy("node").count().where("count > 1"), "nodes")
-            small = rows.join(shared.where(f"count <= {SMALL}"), "node").join(self.classes.select("key", "brief"), "key")
+            shared = rows.groupBy("node").agg(F.count("*").alias("size"), F.max("parent").alias("parent"))
+            shared = materialize(shared.where("size > 1"), "nodes")
+            small = rows.join(shared.where(f"size <= {SMALL}").select("node"), "node").join(self.classes.select("key", "brief"), "key")
             found = (
                 small.select("node", "key", "brief").repartition("node").sortWithinPartitions("node")
-                .mapInArrow(_agreeing(self.least), "a binary, b binary")
+                .mapInArrow(_agreeing(self.similarity), "a binary, b binary")
             )
-            found = materialize(found.distinct(), "pairs")
-            pairs = found if pairs is None else pairs.unionByName(found)
-            rows = rows.join(shared.where(f"count > {SMALL}").select("node"), "node")
-            if level == LEVELS - 1 or shared.where(f"count > {SMALL}").isEmpty():
+            pairs.append(materialize(found.distinct(), "pairs"))
+            large = rows.drop("parent").join(shared.where(f"size > {SMALL}"), "node")
+            stuck = F.col("size") > F.col("parent") * DENSE
+            dense.append(large.where(stuck).select("node", "key", "size"))
+            if shared.where((F.col("size") > SMALL) & ~stuck).isEmpty():
                 break
             chosen = [F.pmod(F.xxhash64("node", F.lit(i)), F.lit(SKETCH)).cast("int") for i in range(2)]
-            rows = rows.join(self.classes, "key").select(
-                "key",
+            rows = large.where(~stuck).join(self.classes, "key").select(
+                "key", F.col("size").alias("parent"),
                 F.explode(
                     F.array(*[F.xxhash64("node", F.lit(i), _token(F.col("sketch"), c)) for i, c in enumerate(chosen)])
                 ).alias("node"),
-            )
-        return pairs.distinct(), materialize(rows, "large-nodes")
+            )
+        return reduce(DataFrame.unionByName, pairs).distinct(), materialize(reduce(DataFrame.unionByName, dense), "dense")
 
     def fetch(self, keys: DataFrame) -> DataFrame:
         """(key, text) of one document of each class in ``keys``."""
@@ -209,62 +297,77 @@ class _Join:
             "links",
         )
 
-    def rooted(self, links: DataFrame, keys: DataFrame) -> DataFrame:
-        """``keys`` with the component each is in so far."""
-        roots = components(links, "copies").withColumnRenamed("node", "key")
-        return keys.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-
     @staticmethod
-    def strangers(members: DataFrame) -> DataFrame:
-        """Rows (node, key, root) in another component than the largest of their node."""
-        sizes = members.groupBy("node", "root").count()
-        most = sizes.groupBy("node").agg(F.max(F.struct("count", "root"))["root"].alias("most"))
-        return members.join(materialize(most, "most"), "node").where("root <> most").select("node", "key", "root")
+    def rooted(roots: DataFrame, keys: DataFrame) -> DataFrame:
+        """``keys`` with the component each is in so far, by ``roots`` (node, root)."""
+        roots = roots.withColumnRenamed("node", "key")
+        return keys.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
 
-    def blocks(self, members: DataFrame, strangers: DataFrame) -> DataFrame:
-        """Candidates of each stranger in its whole node, strangers taken 32 at a time."""
+    def stars(self, dense: DataFrame) -> DataFrame:
+        """Candidates (a, b) of the classes of dense nodes with the most central class of their node."""
         briefs = self.classes.select("key", "brief")
-        counts = strangers.groupBy("node").agg(F.ceil(F.count("*") / 32).alias("blocks"))
-        others = materialize(
-            strangers.join(counts, "node").join(briefs, "key")
-            .groupBy("node", F.pmod(F.xxhash64("key"), "blocks").alias("block"))
-            .agg(F.collect_list(F.struct("key", "root", "brief")).alias("others")),
-            "strangers",
+        every = F.ceil(F.col("size") / REFERENCES)
+        few = dense.where(F.pmod(F.xxhash64("key", "node"), every) == 0).join(briefs, "key")
+        usual = few.groupBy("node").agg(F.collect_list("brief").alias("briefs")).mapInArrow(_usual, "node long, usual binary")
+        scored = dense.join(briefs, "key").join(usual, "node").select("node", "key", "brief", "usual")
+        centre = (
+            scored.mapInArrow(_central, "node long, agree int, key binary")
+            .groupBy("node").agg(F.max(F.struct("agree", "key"))["key"].alias("centre"))
+        )
+        centre = materialize(
+            centre.join(self.classes.select(F.col("key").alias("centre"), F.col("brief").alias("centre_brief")), "centre"), "centres"
+        )
+        near = dense.join(briefs, "key").join(centre, "node").where("key <> centre")
+        return near.mapInArrow(_near_centre(self.similarity), "a binary, b binary")
+
+    def tiles(self, members: DataFrame) -> DataFrame:
+        """Candidates of the classes (node, key, root) that are in another component than the
+        largest of their node. A class is copied once per tile it takes part in."""
+        sizes = members.groupBy("node", "root").count()
+        counts = sizes.groupBy("node").agg(
+            F.max(F.struct("count", "root"))["root"].alias("most"),
+            F.ceil(F.sum("count") / TILE).alias("slices"),
+            F.ceil((F.sum("count") - F.max("count")) / TILE).alias("blocks"),
+        )
+        counts = materialize(counts.where("blocks > 0"), "most")
+        rows = members.join(counts, "node").withColumn("odd", F.col("root") != F.col("most"))
+        own = F.xxhash64("key")
+        upto = lambda count: F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+        both = [
+            rows.select(
+                "node", F.pmod(own, "slices").alias("slice"), F.explode(upto("blocks")).alias("block"),
+                F.lit(False).alias("asks"), "odd", "key", "root",
+            ),
+            rows.where("odd").select(
+                "node", F.explode(upto("slices")).alias("slice"), F.pmod(own, "blocks").alias("block"),
+                F.lit(True).alias("asks"), "odd", "key", "root",
+            ),
+        ]
+        dealt = materialize(both[0].unionByName(both[1]), "tiles")
+        by = ["node", "slice", "block"]
+        return (
+            dealt.join(self.classes.select("key", "brief"), "key")
+            .select(*by, "asks", "odd", "key", "root", "brief")
+            .repartition(task_count(self.spark, dealt.count(), TILE), *by).sortWithinPartitions(*by, F.desc("asks"))
+            .mapInArrow(_tiled(self.similarity), "a binary, b binary")
         )
-        # blocks join last: they are wide, and go straight into the comparison
-        compared = members.join(briefs, "key").join(others.select("node", "others"), "node")
-        return compared.select("key", "root", "brief", "others").mapInArrow(_strangers(self.least), "a binary, b binary")
 
     def links(self) -> DataFrame:
         """Links (a, b) that join every class to its component."""
-        pairs, large = self.paths()
+        pairs, dense = self.paths()
         pairs = materialize(pairs, "candidates")
-        texts = self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(large.select("key")).distinct())
+        texts = self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(dense.select("key")).distinct())
         ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        centre = materialize(large.groupBy("node").agg(F.min("key").alias("b")), "centres")
-        star = large.join(centre, "node").select(F.col("key").alias("a"), "b").where("a <> b")
-        first = ends.unionByName(star).groupBy("a").agg(F.min("b").alias("b"))
+        first = ends.groupBy("a").agg(F.min("b").alias("b")).unionByName(self.stars(dense))
         # of two classes that chose each other one row is enough
         first = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
         tried = materialize(first, "first")
         links = self.confirmed(tried, texts)
-        members = materialize(self.rooted(links, large), "members")
-        for _ in range(STARS - 1):
-            odd = self.strangers(members)
-            centre = materialize(odd.groupBy("node").agg(F.min(F.struct("key", "root")).alias("c")), "centres")
-            if centre.isEmpty():
-                break
-            star = members.join(centre, "node").where("root <> c.root").groupBy(F.col("key").alias("a")).agg(F.min("c.key").alias("b"))
-            star = materialize(star, "star")
-            links = links.unionByName(self.confirmed(star, texts))
-            tried = tried.unionByName(star)
-            members = materialize(self.rooted(links, large), "members")
-        odd = materialize(self.strangers(members), "odd")
-        if not odd.isEmpty():
-            pairs = pairs.unionByName(self.blocks(members, odd)).distinct()
+        roots = components(links, "copies")
+        members = materialize(self.rooted(roots, dense.select("node", "key")), "members")
+        pairs = pairs.unionByName(self.tiles(members)).distinct()
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         apart = pairs.join(known, ["a", "b"], "left_anti")
-        roots = components(links, "copies")
         for end in ("a", "b"):
             apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         apart = apart.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")

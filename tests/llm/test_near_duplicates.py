@@ -28,10 +28,11 @@ def brute(rows, width, share):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("small", [48, 2])
-def test_against_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(nd, "SMALL", small)  # with 2, stars and blocks have to find the links
-    rng = random.Random(small)
+@pytest.mark.parametrize("small, tile", [(48, 4096), (2, 4096), (2, 3)])
+def test_against_brute_force(spark, monkeypatch, small, tile):
+    monkeypatch.setattr(nd, "SMALL", small)  # with 2, stars and tiles have to find the links
+    monkeypatch.setattr(nd, "TILE", tile)
+    rng = random.Random(small + tile)
     word = lambda: "w%d" % rng.randint(0, 3000)
     rows, number = [(1000, None), (1001, ""), (1002, "one"), (1003, "One"), (1004, "one two"), (1005, "x " * 20_000)], 0
     for _ in range(12):
@@ -49,3 +50,32 @@ def test_against_brute_force(spark, monkeypatch, small):
 
 def test_empty_table(spark):
     assert nd.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_dense_group_of_chained_copies(spark, monkeypatch):
+    """Copies of one text that link only by way of a few of them, beside texts that share a long passage."""
+    monkeypatch.setattr(nd, "SMALL", 8)
+    monkeypatch.setattr(nd, "TILE", 40)
+    rng = random.Random(7)
+    word = lambda: "w%d" % rng.randint(0, 30_000)
+    base, passage = [word() for _ in range(120)], [word() for _ in range(80)]
+    rows = []
+    for number in range(150):
+        text = list(base)
+        for _ in range(rng.randint(0, 6)):
+            text[rng.randrange(len(text))] = word()
+        rows.append((number, " ".join(text)))
+        rows.append((1000 + number, " ".join(passage + [word() for _ in range(rng.randint(5, 60))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.near_duplicates(df, width=3, share=(85, 100)).collect()}
+    assert got == brute(rows, 3, (85, 100))
+
+
+def test_bytes_agree_as_sets_do():
+    rng = random.Random(3)
+    for size, common in ((400, 380), (60, 56), (2000, 1900)):
+        values = [rng.getrandbits(64) for _ in range(2 * size - common)]
+        one, two = (nd.np.array(sorted(v), nd.np.uint64) for v in (values[:size], values[size - common :]))
+        far = nd.np.array(sorted(rng.getrandbits(64) for _ in range(size)), nd.np.uint64)
+        others = nd.np.stack([nd.bytes_of(two), nd.bytes_of(far)])
+        assert nd.alike(nd.bytes_of(one), others, 0.85).tolist() == [0]
