@@ -31,6 +31,7 @@ of any name are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -44,7 +45,7 @@ from cinelake.llm.components import components
 from cinelake.session import materialize, task_count
 
 SKETCH, SMALL, TREES, DENSE = 64, 48, 10, 0.6
-BINS, COARSE = 256, 64
+BINS, COARSE = 512, 64
 TILE, REFERENCES = 4096, 32
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 63, SKETCH, dtype=np.uint64) | np.uint64(1)
 
@@ -79,13 +80,19 @@ def bytes_of(shingles: np.ndarray) -> np.ndarray:
 def alike(own: np.ndarray, others: np.ndarray, share: float) -> np.ndarray:
     """Numbers of the rows of ``others`` that agree with ``own`` as often as a set of similarity
     ``share`` does, less five deviations. Parts empty in both sets tell nothing and do not count."""
-    at = np.arange(len(others))
-    for some in (slice(0, COARSE), slice(0, BINS)):
-        mine, theirs = own[some], others[at][:, some]
-        empty = (theirs[:, mine == 0] == 0).sum(axis=1)
-        told = len(mine) - empty
-        agree = (theirs == mine).sum(axis=1) - empty
-        at = at[agree >= told * share - 5 * np.sqrt(told * share * (1 - share))]
+    # agreement of the first parts, empty ones included, can only be more than is needed
+    least = COARSE * share - 5 * math.sqrt(COARSE * share * (1 - share))
+    at = np.flatnonzero((others[:, :COARSE] == own[:COARSE]).sum(axis=1) >= least)
+    if len(at):
+        theirs = others[at]
+        empty = (theirs[:, own == 0] == 0).sum(axis=1)
+        told = BINS - empty
+        agree = (theirs == own).sum(axis=1) - empty
+        # the least shingles of the parts are a sample of the union without replacement; as many
+        # parts are filled as a union of about this size (a tenth more, for safety) fills
+        union = -1.1 * BINS * np.log1p(-np.minimum(told, BINS - 1) / BINS)
+        left = np.clip((union - told) / np.maximum(union - 1, 1), 0, 1)
+        at = at[agree >= told * share - 1 - 5 * np.sqrt(told * share * (1 - share) * left)]
     return at
 
 
