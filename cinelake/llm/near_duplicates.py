@@ -260,17 +260,12 @@ class _Join:
         """(candidate pairs of small nodes, rows (node, key, size) of dense ones)."""
         roots = [F.xxhash64(F.lit(t), _token(F.col("sketch"), F.lit(t * 6 % SKETCH))) for t in range(self.trees)]
         rows = self.classes.select("key", F.lit(self.classes.count()).alias("parent"), F.explode(F.array(*roots)).alias("node"))
-        pairs, dense = [], []
+        few, dense = [], []
         while True:
             rows = materialize(rows, "paths")
             shared = rows.groupBy("node").agg(F.count("*").alias("size"), F.max("parent").alias("parent"))
             shared = materialize(shared.where("size > 1"), "nodes")
-            small = rows.join(shared.where(f"size <= {SMALL}").select("node"), "node").join(self.classes.select("key", "brief"), "key")
-            found = (
-                small.select("node", "key", "brief").repartition("node").sortWithinPartitions("node")
-                .mapInArrow(_agreeing(self.similarity), "a binary, b binary")
-            )
-            pairs.append(materialize(found.distinct(), "pairs"))
+            few.append(rows.join(shared.where(f"size <= {SMALL}").select("node"), "node").select("node", "key"))
             large = rows.drop("parent").join(shared.where(f"size > {SMALL}"), "node")
             stuck = F.col("size") > F.col("parent") * DENSE
             dense.append(large.where(stuck).select("node", "key", "size"))
@@ -283,7 +278,13 @@ class _Join:
                     F.array(*[F.xxhash64("node", F.lit(i), _token(F.col("sketch"), c)) for i, c in enumerate(chosen)])
                 ).alias("node"),
             )
-        return reduce(DataFrame.unionByName, pairs).distinct(), materialize(reduce(DataFrame.unionByName, dense), "dense")
+        # small nodes of all levels meet in one pass, so a deep tree costs no pass a level
+        pairs = (
+            reduce(DataFrame.unionByName, few).join(self.classes.select("key", "brief"), "key")
+            .select("node", "key", "brief").repartition("node").sortWithinPartitions("node")
+            .mapInArrow(_agreeing(self.similarity), "a binary, b binary")
+        )
+        return materialize(pairs.distinct(), "candidates"), materialize(reduce(DataFrame.unionByName, dense), "dense")
 
     def fetch(self, keys: DataFrame) -> DataFrame:
         """(key, text) of one document of each class in ``keys``."""
@@ -362,7 +363,6 @@ class _Join:
     def links(self) -> DataFrame:
         """Links (a, b) that join every class to its component."""
         pairs, dense = self.paths()
-        pairs = materialize(pairs, "candidates")
         texts = self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).unionByName(dense.select("key")).distinct())
         ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = ends.groupBy("a").agg(F.min("b").alias("b")).unionByName(self.stars(dense))
