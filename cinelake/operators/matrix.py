@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -90,6 +91,29 @@ def wide(matrix: Matrix, bound: int = WIDE_COLUMNS, contents: list | None = None
     )
 
 
+def wide_blocks(matrix: Matrix, width: int = WIDE_COLUMNS) -> Iterator[DataFrame]:
+    """The wide matrix for any number of contents: stored tables of ``width`` contents each, the
+    last of what is left, in the order of the content keys. Every user has a row in each.
+
+    The driver holds the keys of one block at a time. Cells are stored by content first, so
+    a block reads its own range of them; a content with a third of all cells is split by user.
+    """
+    by_content = ["Content_Key", "Customer_Key"]
+    cells = materialize(matrix.cells.repartitionByRange(*by_content).sortWithinPartitions(*by_content), "by-content")
+    users = materialize(cells.select("Customer_Key").distinct(), "users")
+    contents = materialize(cells.select("Content_Key").distinct(), "contents")
+    left = contents
+    while items := [row["Content_Key"] for row in left.orderBy("Content_Key").limit(width).collect()]:
+        block = (
+            cells.filter(F.col("Content_Key").between(items[0], items[-1]))
+            .groupBy("Customer_Key")
+            .pivot("Content_Key", items)
+            .agg(F.sum("Minutes"))
+        )
+        yield materialize(users.join(block, "Customer_Key", "left").na.fill(0.0), "wide")
+        left = contents.filter(F.col("Content_Key") > items[-1])
+
+
 def sparsity(matrix: Matrix) -> DataFrame:
     """Share of empty cells in percent, 0 for an empty matrix."""
     total = matrix.users * matrix.items

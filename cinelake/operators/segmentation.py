@@ -103,7 +103,14 @@ def scaled_vectors(features: DataFrame) -> DataFrame:
 def assign_clusters(
     features: DataFrame, k: int = CLUSTERS, seed: int = SEED, starts: int = STARTS
 ) -> DataFrame:
-    """Add ``Cluster``: K-Means on scaled features, the best of several starts.
+    """Add ``Cluster``: K-Means on scaled features, the best of several starts."""
+    return cheapest_start(features, k, seed, starts)[0]
+
+
+def cheapest_start(
+    features: DataFrame, k: int = CLUSTERS, seed: int = SEED, starts: int = STARTS
+) -> tuple[DataFrame, float]:
+    """Users with the ``Cluster`` of the cheapest K-Means start, and its cost in sample deviations.
 
     The starts run at the same time over one cached table. The scaler divides by
     the sample deviation; that stretches every axis alike and moves no border.
@@ -119,7 +126,7 @@ def assign_clusters(
         with ThreadPool(min(starts, 8)) as pool:
             models = pool.map(inheritable_thread_target(features.sparkSession)(fit), range(starts))
         best = min(models, key=lambda model: model.summary.trainingCost)
-        return materialize(best.transform(scaled).drop("scaled"), "clusters")
+        return materialize(best.transform(scaled).drop("scaled"), "clusters"), best.summary.trainingCost
     finally:
         scaled.unpersist()
 
@@ -285,6 +292,47 @@ def squared_silhouette(assigned: DataFrame) -> DataFrame:
     return assigned.sparkSession.range(1).select(F.lit(round(value, 6)).alias("Silhouette_Cuadrado"))
 
 
+def certify(assigned: DataFrame, cost: float, slack: float = 0.01) -> DataFrame:
+    """What must hold for K-Means segments, told for every user.
+
+    ``Nearest``: no centroid is nearer than the own one by more than ``slack`` standard
+    deviations, which K-Means leaves open when it stops. ``Named``: the label fits the mean
+    activity of the user's cluster among all. ``Cheapest``: the squared distances to the
+    centroids sum to no more than ``cost``, that of the cheapest start. The centroids,
+    one per cluster, come in as a one-row subquery.
+    """
+    axes = [f"z_{f}" for f in FEATURES]
+    users = standardized(label_users(assigned))
+    centroids = users.groupBy("Cluster").agg(
+        F.count("*").alias("size"), F.round(F.avg("total_eventos"), 9).alias("activity"), *[F.avg(a).alias(a) for a in axes]
+    )
+    listed = centroids.agg(F.collect_list(F.struct(*centroids.columns)).alias("centroids"))
+
+    def gap(centroid: Column) -> Column:
+        squares = [(F.col(a) - centroid[a]) * (F.col(a) - centroid[a]) for a in axes]
+        return F.sqrt(sum(squares[1:], squares[0]))
+
+    activities = F.transform("_centroids", lambda c: c["activity"])
+    label = F.col("Cluster_Etiqueta")
+    told = users.withColumn("_centroids", listed.scalar()).withColumn(
+        "_own", F.filter("_centroids", lambda c: c["Cluster"] == F.col("Cluster"))[0]
+    )
+    # the cost is in sample deviations, the axes in population deviations
+    users_now = F.aggregate("_centroids", F.lit(0).cast("bigint"), lambda n, c: n + c["size"])
+    within = inertia(assigned).select("Inercia").scalar() * (users_now - 1) / users_now
+    return told.select(
+        "Customer_Key",
+        *FEATURES,
+        (gap(F.col("_own")) <= F.array_min(F.transform("_centroids", gap)) + slack).alias("Nearest"),
+        (
+            F.when(label == POWER, F.col("_own.activity") >= F.array_max(activities))
+            .when(label == DORMANT, F.col("_own.activity") <= F.array_min(activities))
+            .otherwise(F.col("_own.activity").between(F.array_min(activities), F.array_max(activities)))
+        ).alias("Named"),
+        (within <= F.lit(cost * (1 + 1e-6) + 1e-6)).alias("Cheapest"),
+    )
+
+
 def segment_users(events: DataFrame) -> DataFrame:
     """Features, K-Means and labels, sorted by cluster and customer."""
     features = materialize(require_rows(user_features(events), "user features"), "features")

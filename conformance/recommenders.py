@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,30 @@ def a10_wide(spark, directory) -> DataFrame:
     return out.select("Customer_Key", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
 
 
+BLOCK_WIDTH = 30
+
+
+@case(
+    "a10_matrix_blocks",
+    with_tables(
+        "viewing",
+        f"""SELECT CAST((place - 1) // {BLOCK_WIDTH} AS INTEGER) AS "Block", (SELECT count(DISTINCT u) FROM viewing) AS "Rows",
+        u AS "Customer_Key", CAST(i AS VARCHAR) AS "Content_Key", round(m, 6) AS "Minutes"
+        FROM (SELECT u, i, sum(m) AS m, dense_rank() OVER (ORDER BY i) AS place FROM viewing GROUP BY u, i) WHERE m <> 0""",
+    ),
+)
+def a10_blocks(spark, directory) -> DataFrame:
+    """The cells of the stored blocks of the wide matrix, with each block's number and rows."""
+    blocks = mx.wide_blocks(mx.build_matrix(RetailStar(spark, directory).viewing()), BLOCK_WIDTH)
+    cells = [
+        block.unpivot("Customer_Key", None, "Content_Key", "Minutes")
+        .where("Minutes <> 0")
+        .select(F.lit(n).alias("Block"), F.lit(block.count()).cast("bigint").alias("Rows"), "*")
+        for n, block in enumerate(blocks)
+    ]
+    return reduce(DataFrame.unionByName, cells).withColumn("Minutes", F.round("Minutes", 6))
+
+
 @case(
     "a11_sparsity",
     with_tables(

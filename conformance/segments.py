@@ -128,7 +128,19 @@ def m6(spark, directory) -> DataFrame:
     return seg.silhouette(by_region(spark, directory))
 
 
-@case("m6_squared_silhouette")
+@case(
+    "m6_squared_silhouette",
+    _FEATURES + """, sums AS (
+      SELECT c AS o, count(*) AS n, sum(z1) AS s1, sum(z2) AS s2, sum(z3) AS s3, sum(z1 * z1 + z2 * z2 + z3 * z3) AS q
+      FROM z GROUP BY 1),
+    near AS (
+      SELECT k, c, o, n, n * (z1 * z1 + z2 * z2 + z3 * z3) + q - 2 * (z1 * s1 + z2 * s2 + z3 * s3) AS d
+      FROM z CROSS JOIN sums),
+    ab AS (
+      SELECT k, max(CASE WHEN c = o THEN d / (n - 1) END) AS a, min(CASE WHEN c <> o THEN d / n END) AS b
+      FROM near GROUP BY k)
+    SELECT round(avg((b - a) / greatest(a, b)), 6) AS "Silhouette_Cuadrado" FROM ab""",
+)
 def m6_squared(spark, directory) -> DataFrame:
     return seg.squared_silhouette(by_region(spark, directory))
 
@@ -161,6 +173,22 @@ def q10(spark, directory) -> DataFrame:
     return registry.MODELS["user_segments"](RetailStar(spark, directory))
 
 
+@case(
+    "m3_q10_certified_segments",
+    with_tables(
+        "viewing",
+        """SELECT u AS "Customer_Key", count(*) AS total_eventos, round(sum(m), 6) AS total_minutos,
+        round(avg(m), 6) AS promedio_minutos, TRUE AS "Nearest", TRUE AS "Named", TRUE AS "Cheapest"
+        FROM viewing GROUP BY u""",
+    ),
+)
+def m3_certified(spark, directory) -> DataFrame:
+    """The users of K-Means segments with what must hold for each."""
+    features = materialize(seg.user_features(RetailStar(spark, directory).viewing()), "features")
+    told = seg.certify(*seg.cheapest_start(features))
+    return told.withColumns({c: F.round(c, 6) for c in ("total_minutos", "promedio_minutos")})
+
+
 @case("m3_kmeans_quality")
 def m3(spark, directory) -> DataFrame:
     """Profile of the segments K-Means finds, with inertia and silhouette."""
