@@ -16,7 +16,9 @@ its nodes need, and no task sees a large node whole. The centre is chosen by a s
 node; it decides on the work only, never on the links.
 
 Links are confirmed in two steps, as only components are asked for: first one candidate
-of each class, then every candidate whose ends are still in different components.
+of each class, then every candidate whose ends are still in different components. Candidates
+of a tile are confirmed in the tile, where the texts of the classes concerned meet; a pair is tried in
+one tile, that of the least dense node both classes are in, and a tile gives a spanning set of its links.
 
 A pair at the threshold s survives a tree with at least s(1 - q), q = (1 - s(1 - q))^2 being
 the chance that both branches of a node lose it, at any depth: 0.75 for 0.8, so ten trees
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections import namedtuple
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -191,41 +194,109 @@ def _near_centre(share: float):
     return run
 
 
-def _tiled(share: float):
-    """Pairs of a tile's strangers and members in other components whose bytes agree. Rows come
-    sorted by (node, slice, block), the strangers of a tile first, at most about ``TILE`` of them;
-    of two strangers the one with the lesser key asks."""
+# A row of a tile; ``nodes`` are all dense nodes of the class, the text comes with the second pass only.
+_Row = namedtuple("_Row", "node slice block asks odd key root nodes brief text", defaults=(None,))
+_TILE_ROW = "node long, slice long, block long, asks boolean, odd boolean, key binary, root binary, nodes array<long>, brief binary"
+
+
+def _stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[tuple, list[_Row], list[_Row]]]]:
+    """(tile, its strangers, some of its members) of each batch. Rows come sorted by (node, slice, block),
+    the strangers of a tile first and by key, at most about ``TILE`` of them."""
+    tile: tuple | None = None
+    asking: list[_Row] = []
+    for batch in batches:
+        names = [n for n in batch.schema.names if n != "text"]
+        columns = [batch.column(n).to_pylist() for n in names]
+        if "text" in batch.schema.names:
+            columns.append(texts_of(batch.column("text")))
+        rows = [_Row(*r) for r in zip(*columns)]
+        found, start = [], 0
+        while start < len(rows):
+            here = rows[start][:3]
+            if here != tile:
+                tile, asking = here, []
+            end = start
+            while end < len(rows) and rows[end][:3] == here:
+                if rows[end].asks:
+                    if not asking or asking[-1].key != rows[end].key:
+                        asking.append(rows[end])
+                    start = end + 1
+                end += 1
+            if start < end:
+                found.append((here, asking, rows[start:end]))
+            start = end
+        yield found
+
+
+def _open_pairs(asking: list[_Row], members: list[_Row], share: float) -> Iterator[tuple[_Row, _Row]]:
+    """Strangers and members in other components whose bytes agree. Of two strangers the one with the
+    lesser key asks, and of all dense nodes that two classes share the least one has their pair."""
+    briefs = _matrix([m.brief for m in members])
+    for one in asking:
+        own = set(one.nodes)
+        for at in alike(np.frombuffer(one.brief, np.uint8), briefs, share).tolist():
+            other = members[at]
+            if other.root != one.root and not (other.odd and other.key < one.key) and min(own.intersection(other.nodes)) == one.node:
+                yield one, other
+
+
+def _needed(share: float):
+    """Rows of a tile that are in any of its open pairs: as many at most as the tile has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile: tuple | None = None
-        asking: list[tuple[bytes, bytes, bytes]] = []
-        for batch in batches:
-            node, piece, block, asks, odd, key, root, brief = (c.to_pylist() for c in batch.columns)
-            out: set[tuple[bytes, bytes]] = set()
-            start = 0
-            while start < len(batch):
-                here = (node[start], piece[start], block[start])
+        for found in _stretches(batches):
+            out: list[_Row] = []
+            for _, asking, members in found:
+                chosen: dict[tuple[bool, bytes], _Row] = {}
+                for pair in _open_pairs(asking, members, share):
+                    chosen.update({(row.asks, row.key): row for row in pair})
+                out += chosen.values()
+            kinds = [pa.int64()] * 3 + [pa.bool_()] * 2 + [pa.binary()] * 2 + [pa.list_(pa.int64()), pa.binary()]
+            columns = list(zip(*out)) or [()] * len(_Row._fields)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], list(_Row._fields[:-1]))
+
+    return run
+
+
+def _linked(width: int, numerator: int, denominator: int):
+    """Links among the open pairs of a tile, by full sets. Once two components are linked, no other
+    pair of theirs is tried, so a tile gives fewer links than it has rows."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        tile, joined, own_sets = None, {}, {}
+
+        def top(root: bytes) -> bytes:
+            while root in joined:
+                root = joined[root]
+            return root
+
+        for found in _stretches(batches):
+            out = []
+            for here, asking, members in found:
                 if here != tile:
-                    tile, asking = here, []
-                end = start
-                while end < len(batch) and (node[end], piece[end], block[end]) == here:
-                    if asks[end]:
-                        asking.append((key[end], root[end], brief[end]))
-                        start = end + 1
-                    end += 1
-                if start < end:
-                    members = _matrix(brief[start:end])
-                    for own_key, own_root, own in asking:
-                        for j in alike(np.frombuffer(own, np.uint8), members, share).tolist():
-                            at = start + j
-                            if root[at] != own_root and not (odd[at] and key[at] < own_key):
-                                out.add((min(own_key, key[at]), max(own_key, key[at])))
-                start = end
+                    tile, joined, own_sets = here, {}, {}
+                sets: dict[bytes, np.ndarray] = {}
+                for one, other in _open_pairs(asking, members, numerator / denominator):
+                    least, most = sorted((top(one.root), top(other.root)))
+                    if least == most:
+                        continue
+                    for row, made in ((one, own_sets), (other, sets)):
+                        if row.key not in made:
+                            made[row.key] = shingle_set(row.text, width, known)
+                    if _similar(own_sets[one.key], sets[other.key], numerator, denominator):
+                        joined[most] = least
+                        out.append((min(one.key, other.key), max(one.key, other.key)))
             yield _pair_batch(out)
 
     return run
 
 
+def _similar(one: np.ndarray, other: np.ndarray, numerator: int, denominator: int) -> bool:
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return denominator * common >= numerator * (len(one) + len(other) - common)
+
+
 def _confirm(width: int, numerator: int, denominator: int):
     """Pairs linked by their full sets. Rows: key, its own text (partner NULL) first, then partners' texts."""
 
@@ -239,10 +310,8 @@ def _confirm(width: int, numerator: int, denominator: int):
                 values = shingle_set(text, width, known)
                 if b is None:
                     own = (a, values)
-                elif own[0] == a:
-                    common = len(np.intersect1d(own[1], values, assume_unique=True))
-                    if denominator * common >= numerator * (len(own[1]) + len(values) - common):
-                        out.append((a, b))
+                elif own[0] == a and _similar(own[1], values, numerator, denominator):
+                    out.append((a, b))
             yield _pair_batch(out)
 
     return run
@@ -257,7 +326,8 @@ class _Join:
         self.spark = classes.sparkSession
 
     def paths(self) -> tuple[DataFrame, DataFrame]:
-        """(candidate pairs of small nodes, rows (node, key, size) of dense ones)."""
+        """(candidate pairs of small nodes, a row (key, places, brief, n_shingles) of each class in dense
+        ones; ``places`` are those nodes and their sizes)."""
         roots = [F.xxhash64(F.lit(t), _token(F.col("sketch"), F.lit(t * 6 % SKETCH))) for t in range(self.trees)]
         rows = self.classes.select("key", F.lit(self.classes.count()).alias("parent"), F.explode(F.array(*roots)).alias("node"))
         few, dense = [], []
@@ -272,7 +342,9 @@ class _Join:
             if shared.where((F.col("size") > SMALL) & ~stuck).isEmpty():
                 break
             chosen = [F.pmod(F.xxhash64("node", F.lit(i)), F.lit(SKETCH)).cast("int") for i in range(2)]
-            rows = large.where(~stuck).join(self.classes, "key").select(
+            # stored, so that few rows left are sent to the sketches and not all sketches to them
+            going = materialize(large.where(~stuck), "large")
+            rows = going.join(self.classes, "key").select(
                 "key", F.col("size").alias("parent"),
                 F.explode(
                     F.array(*[F.xxhash64("node", F.lit(i), _token(F.col("sketch"), c)) for i, c in enumerate(chosen)])
@@ -284,11 +356,13 @@ class _Join:
             .select("node", "key", "brief").repartition("node").sortWithinPartitions("node")
             .mapInArrow(_agreeing(self.similarity), "a binary, b binary")
         )
-        return materialize(pairs.distinct(), "candidates"), materialize(reduce(DataFrame.unionByName, dense), "dense")
+        places = reduce(DataFrame.unionByName, dense).groupBy("key").agg(F.collect_set(F.struct("node", "size")).alias("places"))
+        held = materialize(places, "places").join(self.classes.select("key", "brief", "n_shingles"), "key")
+        return materialize(pairs.distinct(), "candidates"), materialize(held, "dense")
 
     def fetch(self, keys: DataFrame) -> DataFrame:
         """(key, text) of one document of each class in ``keys``."""
-        wanted = self.classes.join(keys, "key").select("key", "row_id", "at")
+        wanted = materialize(self.classes.join(keys, "key").select("key", "row_id", "at"), "wanted")
         return materialize(
             self.texts.join(wanted, ["row_id", "at"]).dropDuplicates(["row_id", "at"]).select("key", "text"), "texts"
         )
@@ -313,52 +387,57 @@ class _Join:
 
     def stars(self, dense: DataFrame) -> DataFrame:
         """Candidates (a, b) of the classes of dense nodes with the most central class of their node."""
-        briefs = self.classes.select("key", "brief")
+        rows = dense.select("key", "brief", F.inline("places"))
         every = F.ceil(F.col("size") / REFERENCES)
-        few = dense.where(F.pmod(F.xxhash64("key", "node"), every) == 0).join(briefs, "key")
+        few = rows.where(F.pmod(F.xxhash64("key", "node"), every) == 0)
         usual = few.groupBy("node").agg(F.collect_list("brief").alias("briefs")).mapInArrow(_usual, "node long, usual binary")
-        scored = dense.join(briefs, "key").join(usual, "node").select("node", "key", "brief", "usual")
+        scored = rows.join(usual, "node").select("node", "key", "brief", "usual")
         centre = (
             scored.mapInArrow(_central, "node long, agree int, key binary")
             .groupBy("node").agg(F.max(F.struct("agree", "key"))["key"].alias("centre"))
         )
         centre = materialize(
-            centre.join(self.classes.select(F.col("key").alias("centre"), F.col("brief").alias("centre_brief")), "centre"), "centres"
+            centre.join(dense.select(F.col("key").alias("centre"), F.col("brief").alias("centre_brief")), "centre"), "centres"
         )
-        near = dense.join(briefs, "key").join(centre, "node").where("key <> centre")
+        near = rows.join(centre, "node").where("key <> centre")
         return near.mapInArrow(_near_centre(self.similarity), "a binary, b binary")
 
-    def tiles(self, members: DataFrame) -> DataFrame:
-        """Candidates of the classes (node, key, root) that are in another component than the
-        largest of their node. A class is copied once per tile it takes part in."""
-        sizes = members.groupBy("node", "root").count()
+    def tiles(self, members: DataFrame, texts: DataFrame) -> DataFrame:
+        """Links of the classes (key, root, places, brief, n_shingles) that are in another component than
+        the largest of their node. A class is copied once per tile it takes part in; texts come only
+        to the tiles where bytes agree, and are compared there."""
+        nodes = F.transform("places", lambda place: place["node"])
+        spread = members.select("key", "root", "brief", "n_shingles", nodes.alias("nodes"), F.explode(nodes).alias("node"))
+        sizes = spread.groupBy("node", "root").agg(F.count("*").alias("count"), F.sum("n_shingles").alias("weight"))
+        most = F.max(F.struct("count", "root", "weight"))
+        # strangers are held, so long texts make smaller tiles
         counts = sizes.groupBy("node").agg(
-            F.max(F.struct("count", "root"))["root"].alias("most"),
+            most["root"].alias("most"),
             F.ceil(F.sum("count") / TILE).alias("slices"),
-            F.ceil((F.sum("count") - F.max("count")) / TILE).alias("blocks"),
-        )
+            F.greatest(
+                F.ceil((F.sum("count") - most["count"]) / TILE), F.ceil((F.sum("weight") - most["weight"]) / (TILE << 10))
+            ).alias("blocks"),
+        )
         counts = materialize(counts.where("blocks > 0"), "most")
-        rows = members.join(counts, "node").withColumn("odd", F.col("root") != F.col("most"))
+        rows = spread.join(counts, "node").withColumn("odd", F.col("root") != F.col("most"))
         own = F.xxhash64("key")
         upto = lambda count: F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
         both = [
-            rows.select(
-                "node", F.pmod(own, "slices").alias("slice"), F.explode(upto("blocks")).alias("block"),
-                F.lit(False).alias("asks"), "odd", "key", "root",
-            ),
-            rows.where("odd").select(
-                "node", F.explode(upto("slices")).alias("slice"), F.pmod(own, "blocks").alias("block"),
-                F.lit(True).alias("asks"), "odd", "key", "root",
-            ),
+            rows.select("*", F.pmod(own, "slices").alias("slice"), F.explode(upto("blocks")).alias("block"), F.lit(False).alias("asks")),
+            rows.where("odd").select("*", F.explode(upto("slices")).alias("slice"), F.pmod(own, "blocks").alias("block"), F.lit(True).alias("asks")),
         ]
-        dealt = materialize(both[0].unionByName(both[1]), "tiles")
+        columns = list(_Row._fields[:-1])
+        dealt = materialize(both[0].unionByName(both[1]).select(*columns), "tiles")
+        tasks = task_count(self.spark, dealt.count(), TILE)
+        needed = materialize(self._by_tile(dealt, tasks).mapInArrow(_needed(self.similarity), _TILE_ROW), "needed")
+        return self._by_tile(needed.join(texts, "key").select(*columns, "text"), tasks).mapInArrow(
+            _linked(self.width, *self.share), "a binary, b binary"
+        )
+
+    @staticmethod
+    def _by_tile(rows: DataFrame, tasks: int) -> DataFrame:
         by = ["node", "slice", "block"]
-        return (
-            dealt.join(self.classes.select("key", "brief"), "key")
-            .select(*by, "asks", "odd", "key", "root", "brief")
-            .repartition(task_count(self.spark, dealt.count(), TILE), *by).sortWithinPartitions(*by, F.desc("asks"))
-            .mapInArrow(_tiled(self.similarity), "a binary, b binary")
-        )
+        return rows.repartition(tasks, *by).sortWithinPartitions(*by, F.desc("asks"), "key")
 
     def links(self) -> DataFrame:
         """Links (a, b) that join every class to its component."""
@@ -371,14 +450,15 @@ class _Join:
         tried = materialize(first, "first")
         links = self.confirmed(tried, texts)
         roots = components(links, "copies")
-        members = materialize(self.rooted(roots, dense.select("node", "key")), "members")
-        pairs = pairs.unionByName(self.tiles(members)).distinct()
+        members = materialize(self.rooted(roots, dense), "members")
+        found = materialize(self.tiles(members, texts), "tile-links")
         known = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         apart = pairs.join(known, ["a", "b"], "left_anti")
         for end in ("a", "b"):
             apart = apart.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root")), end, "left")
         apart = apart.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
-        return materialize(links.unionByName(self.confirmed(materialize(apart, "apart"), texts)), "all-links")
+        rest = self.confirmed(materialize(apart, "apart"), texts)
+        return materialize(links.unionByName(found).unionByName(rest), "all-links")
 
 
 def near_duplicates(
@@ -404,8 +484,8 @@ def near_duplicates(
     filled = profiles.where("key IS NOT NULL")
     named = filled.where("row_id IS NOT NULL")
     # one row stands for a class: the least id, and of it the least text hash
-    first = named.groupBy("key").agg(F.min(F.struct("row_id", "at")).alias("first"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"))
-    classes = materialize(first.select("key", "first.row_id", "first.at", "sketch", "brief"), "classes")
+    first = named.groupBy("key").agg(F.min(F.struct("row_id", "at")).alias("first"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief"), F.first("n_shingles").alias("n_shingles"))
+    classes = materialize(first.select("key", "first.row_id", "first.at", "sketch", "brief", "n_shingles"), "classes")
     links = _Join(classes, texts, width, share, trees).links()
     roots = components(links, "duplicates")
     least = (

@@ -71,6 +71,45 @@ def test_a_dense_group_of_chained_copies(spark, monkeypatch):
     assert got == brute(rows, 3, (85, 100))
 
 
+def test_rows_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    """Copies of one text that are pairwise a little below the threshold, some of them linked."""
+    monkeypatch.setattr(nd, "SMALL", 8)
+    stored = {}
+
+    def counted(df, label="stage"):
+        table = plain(df, label)
+        stored[label] = max(stored.get(label, 0), table.count())
+        return table
+
+    plain = nd.materialize
+    monkeypatch.setattr(nd, "materialize", counted)
+    rng = random.Random(11)
+    word = lambda: "w%d" % rng.randint(0, 300_000)
+    base, rows, count = [word() for _ in range(600)], [], 150
+    for number in range(count):
+        text = list(base)
+        for at in rng.sample(range(0, 600, 3), 11):
+            text[at] = word()
+        rows.append((number, " ".join(text)))
+        if number % 10 == 0:
+            rows.append((1000 + number, " ".join([*text[:-1], "other"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.near_duplicates(df, width=3, share=(85, 100)).collect()}
+    assert got == brute(rows, 3, (85, 100))
+    # every tree holds every text about once; all pairs would be 13,530
+    assert max(stored.values()) <= 2 * nd.TREES * len(rows), stored
+
+
+def test_long_strangers_make_smaller_tiles(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SMALL", 2)
+    monkeypatch.setattr(nd, "TILE", 1)  # a block for each 1024 shingles of strangers
+    base = [f"w{n}" for n in range(1500)]
+    rows = [(n, " ".join(base[: 1500 - 40 * n])) for n in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nd.near_duplicates(df, width=3, share=(85, 100)).collect()}
+    assert got == brute(rows, 3, (85, 100))
+
+
 def test_bytes_agree_as_sets_do():
     rng = random.Random(3)
     for size, common in ((400, 380), (60, 56), (2000, 1900)):
