@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import WordHashes, mixed, texts_of, windows
+from cinelake.llm.common import WordHashes, may_be_among, mixed, texts_of, windows
 from cinelake.llm.components import components
 from cinelake.session import materialize, task_count
 
@@ -335,8 +335,10 @@ class _Join:
             rows = materialize(rows, "paths")
             shared = rows.groupBy("node").agg(F.count("*").alias("size"), F.max("parent").alias("parent"))
             shared = materialize(shared.where("size > 1"), "nodes")
-            few.append(rows.join(shared.where(f"size <= {SMALL}").select("node"), "node").select("node", "key"))
-            large = rows.drop("parent").join(shared.where(f"size > {SMALL}"), "node")
+            # stored, so that a level's rows move once; most are alone in their node and do not move
+            held = materialize(may_be_among(rows.drop("parent"), shared, "node").join(shared, "node"), "shared")
+            few.append(held.where(f"size <= {SMALL}").select("node", "key"))
+            large = held.where(f"size > {SMALL}")
             stuck = F.col("size") > F.col("parent") * DENSE
             dense.append(large.where(stuck).select("node", "key", "size"))
             if shared.where((F.col("size") > SMALL) & ~stuck).isEmpty():
@@ -344,37 +346,47 @@ class _Join:
             chosen = [F.pmod(F.xxhash64("node", F.lit(i)), F.lit(SKETCH)).cast("int") for i in range(2)]
             # stored, so that few rows left are sent to the sketches and not all sketches to them
             going = materialize(large.where(~stuck), "large")
-            rows = going.join(self.classes, "key").select(
+            rows = going.join(self.of(going, "key", "sketch"), "key").select(
                 "key", F.col("size").alias("parent"),
                 F.explode(
                     F.array(*[F.xxhash64("node", F.lit(i), _token(F.col("sketch"), c)) for i, c in enumerate(chosen)])
                 ).alias("node"),
             )
-        # small nodes of all levels meet in one pass, so a deep tree costs no pass a level
+        # small nodes of all levels meet in one pass, so a deep tree costs no pass a level; of nodes with
+        # the same classes, as copies make in every tree, one is enough
+        nodes = reduce(DataFrame.unionByName, few).groupBy("node").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+        once = nodes.groupBy("keys").agg(F.min("node").alias("node"))
+        small = materialize(once.select("node", F.explode("keys").alias("key")), "small")
         pairs = (
-            reduce(DataFrame.unionByName, few).join(self.classes.select("key", "brief"), "key")
+            small.join(self.of(small, "key", "brief"), "key")
             .select("node", "key", "brief").repartition("node").sortWithinPartitions("node")
             .mapInArrow(_agreeing(self.similarity), "a binary, b binary")
         )
         places = reduce(DataFrame.unionByName, dense).groupBy("key").agg(F.collect_set(F.struct("node", "size")).alias("places"))
-        held = materialize(places, "places").join(self.classes.select("key", "brief", "n_shingles"), "key")
+        places = materialize(places, "places")
+        held = places.join(self.of(places, "key", "brief", "n_shingles"), "key")
         return materialize(pairs.distinct(), "candidates"), materialize(held, "dense")
 
+    def of(self, keys: DataFrame, *columns: str) -> DataFrame:
+        """``columns`` of the classes in ``keys`` and few others, for a join with them."""
+        return may_be_among(self.classes.select(*columns), keys, "key")
+
     def fetch(self, keys: DataFrame) -> DataFrame:
         """(key, text) of one document of each class in ``keys``."""
         wanted = materialize(self.classes.join(keys, "key").select("key", "row_id", "at"), "wanted")
+        held = may_be_among(self.texts, wanted, "at")
         return materialize(
-            self.texts.join(wanted, ["row_id", "at"]).dropDuplicates(["row_id", "at"]).select("key", "text"), "texts"
+            held.join(wanted, ["row_id", "at"]).dropDuplicates(["row_id", "at"]).select("key", "text"), "texts"
         )
 
     def confirmed(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) whose full sets are similar. The set of ``a`` is held
         while the texts of its partners ``b`` pass, so a pair moves one text."""
-        own = texts.join(pairs.select(F.col("a").alias("key")).distinct(), "key")
-        moved = pairs.join(texts.withColumnRenamed("key", "b"), "b").select("a", "b", "text")
-        dealt = own.select(F.col("key").alias("a"), F.lit(None).cast("binary").alias("b"), "text").unionByName(moved)
+        own = pairs.select("a", F.lit(None).cast("binary").alias("b"), F.col("a").alias("key")).distinct()
+        asked = own.unionByName(pairs.select("a", "b", F.col("b").alias("key")))
+        held = may_be_among(texts, pairs.select(F.explode(F.array("a", "b")).alias("key")), "key")
         return materialize(
-            dealt.repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
+            asked.join(held, "key").select("a", "b", "text").repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
             .mapInArrow(_confirm(self.width, *self.share), "a binary, b binary"),
             "links",
         )
@@ -430,7 +442,8 @@ class _Join:
         dealt = materialize(both[0].unionByName(both[1]).select(*columns), "tiles")
         tasks = task_count(self.spark, dealt.count(), TILE)
         needed = materialize(self._by_tile(dealt, tasks).mapInArrow(_needed(self.similarity), _TILE_ROW), "needed")
-        return self._by_tile(needed.join(texts, "key").select(*columns, "text"), tasks).mapInArrow(
+        held = may_be_among(texts, needed, "key")
+        return self._by_tile(needed.join(held, "key").select(*columns, "text"), tasks).mapInArrow(
             _linked(self.width, *self.share), "a binary, b binary"
         )
 
