@@ -31,17 +31,17 @@ from cinelake.session import materialize
 EDITS, MIN_CHARS = 2, 20
 # Letters whose counts are compared: fixed, in the order of their frequency in European text.
 _LETTERS = "eanirtsoludchmpg"
+_OTHERS = "bvfwkz0123456789"
 # Words of 64 bits in the filter of wanted lines: a table of this many rows is broadcast.
 _FILTER_WORDS = 1 << 17
 
 
 def _lines(docs: DataFrame, id_column: str) -> DataFrame:
     """(id, at, line_no, line, h, g) of every line; ``at`` tells texts of one id apart."""
-    return docs.select(
-        F.col(f"`{id_column}`").alias("id"),
-        F.xxhash64("text").alias("at"),
-        F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"),
-    ).withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(1), "line")})
+    # ``at`` before the lines, or each of them would carry and hash the whole text
+    told = docs.select(F.col(f"`{id_column}`").alias("id"), F.xxhash64("text").alias("at"), F.col("text").cast("string").alias("text"))
+    lines = told.select("id", "at", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.withColumns({"h": F.xxhash64("line"), "g": F.xxhash64(F.lit(1), "line")})
 
 
 def _segment(length: Column, edits: int, number: int) -> tuple[Column, Column]:
@@ -57,17 +57,10 @@ def _piece(wide: Column, start: Column, size: Column) -> Column:
     return F.substring(wide, start * 4 - 3, size * 4)
 
 
-def _index_keys(wide: Column, length: Column, edits: int) -> list[Column]:
-    out = []
-    for number in range(edits + 1):
-        start, size = _segment(length, edits, number)
-        out.append(F.xxhash64(F.lit(number), length, _piece(wide, start, size)))
-    return out
-
-
 def _probe_keys(wide: Column, length: Column, edits: int) -> list[Column]:
-    """Substrings that may equal a segment of a line of ``length - less`` characters."""
-    out = []
+    """Substrings that may equal a segment of a line of ``length - less`` characters. The
+    first ``edits`` + 1 are the line's own segments, under which it is indexed."""
+    own, out = [], []
     for less in range(edits + 1):
         other = length - less
         for number in range(edits + 1):
@@ -76,20 +69,22 @@ def _probe_keys(wide: Column, length: Column, edits: int) -> list[Column]:
             for shift in range(max(-left, less - right), min(left, less + right) + 1):
                 place = start + shift
                 key = F.xxhash64(F.lit(number), other, _piece(wide, place, size))
-                out.append(F.when((place >= 1) & (place + size - 1 <= length), key))
-    return out
-
-
-def _with_letters(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``letters``: counts of frequent letters modulo 16, four bits each.
-    Letters are taken out one after the other, so each pass reads what is left."""
-    total = F.lit(0).cast("long")
-    for place, letter in enumerate(_LETTERS):
-        before = F.col(f"rest{place - 1}" if place else "line")
-        lines = lines.withColumn(f"rest{place}", F.replace(before, F.lit(letter), F.lit("")))
-        count = F.octet_length(before) - F.octet_length(f"rest{place}")
+                if less == shift == 0:
+                    own.append(key)
+                else:
+                    out.append(F.when((place >= 1) & (place + size - 1 <= length), key))
+    return own + out
+
+
+def _letters(line: Column, letters: str = _LETTERS) -> Column:
+    """Counts of ``letters`` modulo 16, four bits each. They are taken out one after the
+    other, so each pass reads what is left."""
+    total, rest = F.lit(0).cast("long"), line
+    for place, letter in enumerate(letters):
+        before, rest = rest, F.replace(rest, F.lit(letter), F.lit(""))
+        count = F.octet_length(before) - F.octet_length(rest)
         total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(15).cast("long"), 4 * place))
-    return lines.withColumn("letters", total)
+    return total
 
 
 def _may_be_near(a: Column, b: Column, edits: int) -> Column:
@@ -134,15 +129,26 @@ def edit_distance_within(a: str, b: str, edits: int) -> Column:
     return F.expr(f"{lengths} AND IF(char_length({a}) <= {edits}, levenshtein({a}, {b}) <= {edits}, ({body}) <= {edits})")
 
 
-def _wanted(lines: DataFrame, keys: DataFrame) -> DataFrame:
-    """Those of ``lines`` whose ``h`` may be among ``keys``: few others pass the filter,
-    none of the keys' own is lost. The filter's size is fixed, whatever the input."""
-    word, bit = F.col("h").bitwiseAND(_FILTER_WORDS - 1), F.shiftrightunsigned("h", 40).bitwiseAND(63).cast("int")
+def _filter(keys: DataFrame) -> DataFrame:
+    """Bits of the ``h`` of ``keys``, for ``_wanted``. The filter's size is fixed, whatever the input."""
+    word = F.col("h").bitwiseAND(_FILTER_WORDS - 1)
     ones = keys.select("h").groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(shiftrightunsigned(h, 40) & 63 AS INT))")).alias("ones"))
-    held = lines.withColumn("word", word).join(F.broadcast(materialize(ones, "filter")), "word")
+    return materialize(ones, "filter")
+
+
+def _wanted(lines: DataFrame, ones: DataFrame) -> DataFrame:
+    """Those of ``lines`` whose ``h`` may be among a filter's keys: few others pass it, none
+    of the keys' own is lost."""
+    held = lines.withColumn("word", F.col("h").bitwiseAND(_FILTER_WORDS - 1)).join(F.broadcast(ones), "word")
     return held.where(F.expr("(ones & shiftleft(1L, CAST(shiftrightunsigned(h, 40) & 63 AS INT))) <> 0")).drop("word", "ones")
 
 
+def _among(lines: DataFrame, keys: DataFrame, ones: DataFrame) -> DataFrame:
+    """Those of ``lines`` whose ``h`` is among the distinct ``keys``. Not a semi-join: the
+    planner moves that below the filter, and then all lines are shuffled."""
+    return _wanted(lines, ones).join(keys, "h")
+
+
 @contextmanager
 def _compiled_methods(spark: SparkSession) -> Iterator[None]:
     """The JVM never compiles methods of over 8000 bytes: let Spark split what is longer."""
@@ -157,15 +163,14 @@ def _compiled_methods(spark: SparkSession) -> Iterator[None]:
 
 def _near(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     """Keys (h, g) of distinct lines with an earlier line within ``edits``."""
-    wide, length = F.col("wide"), F.col("length")
-    index, probe = _index_keys(wide, length, edits), _probe_keys(wide, length, edits)
-    told = _with_letters(lines.withColumn("wide", F.encode("line", "UTF-32")))
+    probe = _probe_keys(F.col("wide"), F.col("length"), edits)
+    told = lines.select("h", "g", _letters(F.col("line")).alias("letters"), F.encode("line", "UTF-32").alias("wide"))
     keyed = told.withColumn("length", F.shiftright(F.octet_length("wide"), 2)).select(
-        "h", "g", F.struct("letters", F.array(*index).alias("index"), F.array(*probe).alias("probe")).alias("x")
+        "h", "g", F.struct("letters", F.array(*probe).alias("probe")).alias("x")
     )
     # one struct: both sides of the join then read the same shuffle
     once = keyed.groupBy("h", "g").agg(F.first("x").alias("x"))
-    shelf = once.select(F.col("h").alias("b"), F.col("x.letters").alias("b_letters"), F.explode("x.index").alias("k"))
+    shelf = once.select(F.col("h").alias("b"), F.col("x.letters").alias("b_letters"), F.explode(F.slice("x.probe", 1, edits + 1)).alias("k"))
     asked = once.select(F.col("h").alias("a"), F.col("x.letters").alias("a_letters"), F.explode("x.probe").alias("k"))
     met = asked.where("k IS NOT NULL").join(
         shelf, (asked.k == shelf.k) & (F.col("a") != F.col("b")) & _may_be_near(F.col("a_letters"), F.col("b_letters"), edits)
@@ -173,15 +178,19 @@ def _near(lines: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
     with _compiled_methods(lines.sparkSession):
         pairs = materialize(met.select("a", "b").distinct(), "line-pairs")
     keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "line-keys")
-    texts = _wanted(lines.select("h", "g", "line"), keys).join(keys, "h", "left_semi").dropDuplicates(["h", "g"])
-    firsts = distinct.join(keys, "h", "left_semi").select("h", "g", "first")
-    known = materialize(texts.join(firsts, ["h", "g"]), "line-texts")
+    ones = _filter(keys)
+    texts = _among(lines.select("h", "g", "line"), keys, ones).dropDuplicates(["h", "g"])
+    firsts = _among(distinct.select("h", "g", "first"), keys, ones)
+    # other characters are counted in the few lines that are left
+    known = texts.join(firsts, ["h", "g"]).withColumn("others", _letters(F.col("line"), _OTHERS))
+    known = materialize(known, "line-texts")
 
     def side(name: str) -> DataFrame:
         return known.select(*[F.col(c).alias(name if c == "h" else f"{name}_{c}") for c in known.columns])
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    near = both.where(edit_distance_within("a_line", "b_line", edits)).select(
+    likely = _may_be_near(F.col("a_others"), F.col("b_others"), edits)
+    near = both.where(likely & edit_distance_within("a_line", "b_line", edits)).select(
         F.when(F.col("a_first") > F.col("b_first"), F.struct(F.col("a").alias("h"), F.col("a_g").alias("g")))
         .otherwise(F.struct(F.col("b").alias("h"), F.col("b_g").alias("g"))).alias("later")
     )
@@ -204,7 +213,7 @@ def duplicate_lines(docs: DataFrame, id_column: str = "doc_id", edits: int = EDI
         .select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near")),
         "bad-lines",
     )
-    narrow = _wanted(grouped.select("id", "at", "line_no", "h", "g"), bad)
+    narrow = _wanted(grouped.select("id", "at", "line_no", "h", "g"), _filter(bad))
     dropped = narrow.join(bad, ["h", "g"]).where(F.col("near") | ~occurrence.eqNullSafe(F.col("first")))
     return materialize(
         dropped.groupBy("id", "at").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")), "dropped-lines"

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cinelake.llm import line_dedup
 
@@ -97,3 +98,48 @@ def test_cut_texts_repeated_rows_and_clashing_names(spark):
     assert line_dedup.without_duplicate_lines(df).columns == df.columns
     assert line_dedup.without_duplicate_lines(df).where("doc_id IN (4, 5)").count() == 2
     assert line_dedup.report(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_near_lines_pass_the_counts_and_share_a_key(spark, edits):
+    rng = random.Random(10 + edits)
+    pairs = []  # the longer line first: it probes the segments of the other
+    while len(pairs) < 300:
+        a = "".join(rng.choice("eanirtsoludchmpgbv0é日 ") for _ in range(rng.choice([20, 21, 22, 40, 90, 200])))
+        b = changed(a, rng, "eagbv0é日")
+        if distance(a, b) <= edits:
+            pairs.append((a, b) if len(a) >= len(b) else (b, a))
+    df = spark.createDataFrame(pairs, "a string, b string")
+
+    def keys(name):
+        wide = F.encode(name, "UTF-32")
+        return F.array(*line_dedup._probe_keys(wide, F.char_length(name), edits))
+
+    counts = [line_dedup._LETTERS, line_dedup._OTHERS]
+    near = [line_dedup._may_be_near(line_dedup._letters(F.col("a"), c), line_dedup._letters(F.col("b"), c), edits) for c in counts]
+    met = F.arrays_overlap(keys("a"), F.slice(keys("b"), 1, edits + 1))
+    assert all(all(r) for r in df.select(*near, met).collect())
+
+
+def test_keys_of_own_segments_and_texts_are_hashed_once(spark):
+    """Twelve keys a line for two edits, and the text's hash below the lines, not once for each of them."""
+    assert len(line_dedup._probe_keys(F.col("wide"), F.col("length"), 2)) == 12
+    df = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
+    plan = line_dedup._lines(df, "doc_id").select("id", "at", "line")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("xxhash64(text")
+
+
+def test_lines_are_filtered_before_they_are_shuffled(spark):
+    """Also where the keys are too many to be broadcast: only what passes the filter of fixed size moves."""
+    lines = spark.range(50).selectExpr("id AS h", "id AS g", "'x' AS line")
+    keys = spark.range(7).selectExpr("id AS h")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = line_dedup._among(lines, keys, line_dedup._filter(keys))
+        assert sorted(r.h for r in found.collect()) == list(range(7))
+        plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        joins = [line for line in plan if "Join " in line]
+        assert len(joins) == 2 and "h#" in joins[0] and "word#" in joins[1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
