@@ -441,15 +441,28 @@ def _best_of_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.R
         yield found.lists()
 
 
-def _stretches(rows: int, cell_count: int, tasks: int) -> tuple[int, int]:
-    """(stretches, blocks): so many stretches of blocks that their pairs keep ``tasks`` cores busy and
-    none has over ``BLOCKS_PER_STRETCH`` blocks."""
+def dealt(blocks: int, most: int, tasks: int) -> tuple[int, int]:
+    """(stretches, blocks), at least as many blocks as given: so many stretches of blocks that their
+    pairs keep ``tasks`` cores busy and none has over ``most`` blocks."""
     busy = math.ceil((math.sqrt(8 * 3 * tasks + 1) - 1) / 2)
-    blocks = max(row_blocks_for(rows, cell_count, tasks), min(busy, blocks_for(rows, ROWS_PER_TILE)))
-    stretches = max(blocks_for(blocks, BLOCKS_PER_STRETCH), min(blocks, busy))
+    stretches = max(blocks_for(blocks, most), min(blocks, busy))
     return stretches, stretches * blocks_for(blocks, stretches)
 
 
+def busy_blocks(by_size: int, rows: int, least: int, tasks: int) -> int:
+    """More blocks than ``by_size`` when the cores would wait else, of ``least`` rows each."""
+    return max(by_size, min(math.ceil((math.sqrt(8 * 3 * tasks + 1) - 1) / 2), blocks_for(rows, least)))
+
+
+def stretch_pairs(packed: DataFrame, stretches: int, blocks: int) -> DataFrame:
+    """Every pair of packed blocks once, their columns after ``l`` and ``r``. A task reads two stretches of
+    blocks: a Cartesian product of partitions, which copies nothing into a shuffle."""
+    stretch = F.floor(F.col("block") * F.lit(stretches) / F.lit(blocks)).cast("int")
+    parts = packed.repartitionById(stretches, stretch)
+    left, right = (parts.select(*[F.col(c).alias(side + c) for c in parts.columns]) for side in "lr")
+    return left.hint("shuffle_replicate_nl").join(right, F.col("lblock") <= F.col("rblock"))
+
+
 def top_positive(units: DataFrame, rows: int, cell_count: int, k: int) -> DataFrame:
     """For every row vector the k others with the largest positive cosine, as
     (row, other, similarity); ties go to the lowest key.
@@ -458,7 +471,9 @@ def top_positive(units: DataFrame, rows: int, cell_count: int, k: int) -> DataFr
     (a Cartesian product of partitions, which copies nothing into a shuffle) and sends on
     one list per row for all of them.
     """
-    stretches, blocks = _stretches(rows, cell_count, cores(units.sparkSession))
+    tasks = cores(units.sparkSession)
+    blocks = busy_blocks(row_blocks_for(rows, cell_count, tasks), rows, ROWS_PER_TILE, tasks)
+    stretches, blocks = dealt(blocks, BLOCKS_PER_STRETCH, tasks)
     packed = materialize(
         units.select("row", "feature", F.col("value").cast("double").alias("value"))
         .withColumn("_block", _bucket(F.col("row"), blocks))
@@ -467,13 +482,10 @@ def top_positive(units: DataFrame, rows: int, cell_count: int, k: int) -> DataFr
         .applyInArrow(_pack, "block INT, " + ", ".join(f"{name} BINARY" for name in _Block.NAMES)),
         "blocks",
     )
-    stretch = F.floor(F.col("block") * F.lit(stretches) / F.lit(blocks)).cast("int")
-    dealt = packed.repartitionById(stretches, stretch)
-    left, right = (dealt.select(*[F.col(c).alias(side + c) for c in dealt.columns]) for side in "lr")
-    best = left.hint("shuffle_replicate_nl").join(right, F.col("lblock") <= F.col("rblock"))
     near = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
     return (
-        best.mapInArrow(lambda batches: _best_of_batches(batches, k), "row BIGINT, near ARRAY<STRUCT<down: DOUBLE, other: BIGINT>>")
+        stretch_pairs(packed, stretches, blocks)
+        .mapInArrow(lambda batches: _best_of_batches(batches, k), "row BIGINT, near ARRAY<STRUCT<down: DOUBLE, other: BIGINT>>")
         .groupBy("row")
         .agg(near.alias("near"))
         .select("row", F.explode("near").alias("n"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -16,12 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.functions.scalars import to_key, to_number
-from cinelake.operators.pairwise import MAX_TASKS, blocks_for
-from cinelake.session import materialize
+from cinelake.operators.pairwise import MAX_TASKS, blocks_for, busy_blocks, dealt, stretch_pairs
+from cinelake.session import cores, materialize
 from cinelake.sources.readers import require_rows, resolve_columns
 from cinelake.sources.schemas import EVENT_ALIASES
 
-ROWS_PER_BLOCK = 2048  # a task holds the distances between two blocks
+ROWS_PER_BLOCK = 16_384
+BLOCKS_PER_STRETCH = 64  # a task holds the summed distances of two stretches of blocks
+
+# Points whose distances are written out at a time, 1 MB.
+ROWS_PER_STEP, COLUMNS_PER_STEP = 128, 1024
 
 FEATURES = ["total_eventos", "total_minutos", "promedio_minutos"]
 
@@ -205,83 +210,116 @@ def inertia(assigned: DataFrame) -> DataFrame:
     )
 
 
+class _Points:
+    """A block of weighted points, sorted by cluster; ``ends`` tells where each cluster ends."""
+
+    def __init__(self, ends: np.ndarray, *columns: np.ndarray):
+        self.ends, self.axes, self.weight = ends, columns[:-1], columns[-1]
+
+    def steps(self, size: int) -> Iterator[tuple[int, int, int]]:
+        """(cluster, from, to), at most ``size`` points each."""
+        for cluster, (start, end) in enumerate(zip(np.r_[0, self.ends], self.ends)):
+            for a in range(start, end, size):
+                yield cluster, a, min(a + size, end)
+
+
+def _add_distances(left: _Points, right: _Points, mine: np.ndarray, theirs: np.ndarray) -> None:
+    """Add to ``mine`` every left point's summed distance to the right points of each cluster, and the
+    other way round to ``theirs``, but once for a block with itself."""
+    square, gap = np.empty((2, ROWS_PER_STEP * COLUMNS_PER_STEP))
+    for p, a, b in left.steps(ROWS_PER_STEP):
+        for q, c, d in right.steps(COLUMNS_PER_STEP):
+            total, part = (x[: (b - a) * (d - c)].reshape(b - a, d - c) for x in (square, gap))
+            for i, (x, y) in enumerate(zip(left.axes, right.axes)):
+                to = part if i else total
+                np.subtract(x[a:b, None], y[None, c:d], out=to)
+                np.multiply(to, to, out=to)
+                if i:
+                    np.add(total, part, out=total)
+            np.sqrt(total, out=total)
+            mine[a:b, q] += total @ right.weight[c:d]
+            if left is not right:
+                theirs[c:d, p] += left.weight[a:b] @ total
+
+
 def silhouette(assigned: DataFrame) -> DataFrame:
     """Mean silhouette with Euclidean distance, exact.
 
-    Equal points are merged with a weight first. Points are hashed into blocks,
-    and a task per pair of blocks sends back, for each point, only its summed
-    distance to each cluster. Quadratic in the distinct points; see
-    ``squared_silhouette`` for the linear variant.
+    Equal points are merged with a weight first. Points are hashed into blocks, and these
+    stored once as packed arrays. A task reads two stretches of blocks and sends back, for each
+    of their points, only its summed distance to each cluster, packed again. Quadratic in the
+    distinct points; see ``squared_silhouette`` for the linear variant.
     """
+    spark = assigned.sparkSession
     axes = [f"z_{f}" for f in FEATURES]
-    z = standardized(assigned).select(*axes, "Cluster")
+    z = standardized(assigned).select(*axes, F.col("Cluster").cast("int").alias("Cluster"))
     points = materialize(z.groupBy(*axes, "Cluster").agg(F.count("*").alias("_weight")), "points")
-    blocks = blocks_for(points.count(), ROWS_PER_BLOCK)
-    own = F.pmod(F.xxhash64(*axes, "Cluster"), F.lit(blocks)).cast("int")
-    targets = F.transform(
-        F.sequence(F.lit(0), F.lit(blocks - 1)), lambda other: F.struct(own.alias("own"), other.alias("other"))
-    )
-
-    def toward(me: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        square = np.zeros((len(me), len(others)))
-        for axis in axes:
-            gap = me[axis].to_numpy()[:, None] - others[axis].to_numpy()[None, :]
-            square += gap * gap
-        clusters, index = np.unique(others["Cluster"].to_numpy(), return_inverse=True)
-        member = np.zeros((len(others), len(clusters)))
-        member[np.arange(len(others)), index] = others["_weight"].to_numpy()
-        sums = np.sqrt(square) @ member
-        out = me.loc[me.index.repeat(len(clusters)), [*axes, "Cluster", "_weight"]].reset_index(drop=True)
-        out["_other"] = np.tile(clusters, len(me))
-        out["_distance"] = sums.ravel()
-        return out
-
-    def task(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = key
-        left = part[part["_block"] == lo]
-        if lo == hi:
-            return toward(left, left)
-        right = part[part["_block"] == hi]
-        return pd.concat([toward(left, right), toward(right, left)])
-
-    spread = (
-        points.withColumn("_t", F.explode(targets))
-        .withColumns(
-            {
-                "_block": F.col("_t.own"),
-                "_lo": F.least("_t.own", "_t.other"),
-                "_hi": F.greatest("_t.own", "_t.other"),
-            }
-        )
-        .drop("_t")
-    )
-    schema = ", ".join(f"{a} DOUBLE" for a in axes) + ", Cluster INT, _weight BIGINT, _other INT, _distance DOUBLE"
-    sums = (
-        spread.withColumn("Cluster", F.col("Cluster").cast("int"))
-        .repartition(min(blocks * (blocks + 1) // 2, MAX_TASKS), "_lo", "_hi")
-        .groupBy("_lo", "_hi")
-        .applyInPandas(task, schema)
-        .groupBy(*axes, "Cluster", "_weight", "_other")
-        .agg(F.sum("_distance").alias("_distance"))
-    )
-    sizes = points.groupBy(F.col("Cluster").cast("int").alias("_other")).agg(F.sum("_weight").alias("_size"))
-    same = F.col("Cluster") == F.col("_other")
-    per_point = (
-        sums.join(sizes, "_other")
-        .groupBy(*axes, "Cluster", "_weight")
-        .agg(
-            F.max(F.when(same, F.col("_size"))).alias("_own_size"),
-            F.max(F.when(same, F.try_divide(F.col("_distance"), F.col("_size") - 1))).alias("_a"),
-            F.min(F.when(~same, F.col("_distance") / F.col("_size"))).alias("_b"),
-        )
+    found = points.groupBy("Cluster").agg(F.count("*").alias("points"), F.sum("_weight").alias("size")).collect()
+    known = sorted((r for r in found if r["Cluster"] is not None), key=lambda r: r["Cluster"])
+    names, sizes = [r["Cluster"] for r in known], np.array([r["size"] for r in known], dtype=np.float64)
+    everyone = sum(r["size"] for r in found)  # users without a cluster count, with 0
+    count, tasks = sum(r["points"] for r in known), cores(spark)
+    blocks = busy_blocks(blocks_for(count, ROWS_PER_BLOCK), count, COLUMNS_PER_STEP, tasks)
+    stretches, blocks = dealt(blocks, BLOCKS_PER_STRETCH, tasks)
+    binaries = ["ends", *[f"c{i}" for i in range(len(axes) + 1)]]
+
+    def pack(table: pa.Table) -> pa.Table:
+        cluster = np.searchsorted(names, table["Cluster"].to_numpy())
+        by = np.argsort(cluster, kind="stable")
+        ends = np.cumsum(np.bincount(cluster, minlength=len(names)))
+        arrays = [ends.astype(np.int64), *[table[c].to_numpy().astype(np.float64)[by] for c in (*axes, "_weight")]]
+        packed = {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(binaries, arrays)}
+        return pa.table({"block": table["_block"].combine_chunks()[:1]} | packed)
+
+    def read(batch: pa.RecordBatch, n: int, side: str) -> _Points:
+        buffers = [batch[side + c][n].as_py() for c in binaries]
+        return _Points(np.frombuffer(buffers[0], np.int64), *[np.frombuffer(x) for x in buffers[1:]])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, kept, last, left = {}, {}, None, None
+        for batch in batches:
+            for n in range(batch.num_rows):
+                lo, hi = batch["lblock"][n].as_py(), batch["rblock"][n].as_py()
+                if lo != last:
+                    last, left = lo, read(batch, n, "l")
+                right = left if lo == hi else read(batch, n, "r")
+                for block, own in ((lo, left), (hi, right)):
+                    if block not in sums:
+                        sums[block], kept[block] = np.zeros((len(own.weight), len(names))), (own.ends, own.weight)
+                _add_distances(left, right, sums[lo], sums[hi])
+        for block, total in sums.items():
+            packed = {k: pa.array([x.tobytes()], pa.binary()) for k, x in zip(("ends", "weight", "sums"), (*kept[block], total))}
+            yield pa.record_batch({"block": pa.array([block], pa.int32())} | packed)
+
+    def score(table: pa.Table) -> pa.Table:
+        """The summed score of a block's points; 0 for one alone in its cluster, or without another cluster."""
+        ends, weight = (np.frombuffer(table[c][0].as_py(), t) for c, t in (("ends", np.int64), ("weight", np.float64)))
+        total = sum(np.frombuffer(x.as_py()) for x in table["sums"]).reshape(len(weight), len(names))
+        cluster = np.repeat(np.arange(len(names)), np.diff(np.r_[0, ends]))
+        own = np.arange(len(names)) == cluster[:, None]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            a = total[own] / (sizes[cluster] - 1)
+            b = np.where(own, np.inf, total / sizes).min(axis=1)
+            value = (b - a) / np.maximum(a, b)
+        value = np.where((sizes[cluster] > 1) & np.isfinite(b) & (np.maximum(a, b) > 0), value, 0.0)
+        return pa.table({"score": [float(value @ weight)]})
+
+    packed = materialize(
+        points.filter(F.col("Cluster").isNotNull())
+        .withColumn("_block", F.pmod(F.xxhash64(*axes, "Cluster"), F.lit(blocks)).cast("int"))
+        .repartition(min(blocks, MAX_TASKS), "_block")
+        .groupBy("_block")
+        .applyInArrow(pack, "block INT, " + ", ".join(f"{c} BINARY" for c in binaries)),
+        "point-blocks",
     )
-    score = F.when(
-        (F.col("_own_size") > 1) & F.col("_b").isNotNull(),
-        F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0)),
-    ).otherwise(0.0)
-    return per_point.agg(
-        F.round(F.sum(score * F.col("_weight")) / F.sum("_weight"), 6).alias("Silhouette")
+    scores = (
+        stretch_pairs(packed, stretches, blocks)
+        .mapInArrow(task, "block INT, ends BINARY, weight BINARY, sums BINARY")
+        .groupBy("block")
+        .applyInArrow(score, "score DOUBLE")
     )
+    total = F.coalesce(F.sum("score"), F.lit(0.0)) if everyone else F.sum("score")
+    return scores.agg(F.round(total / F.lit(everyone or None), 6).alias("Silhouette"))
 
 
 def squared_silhouette(assigned: DataFrame) -> DataFrame:

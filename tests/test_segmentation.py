@@ -116,3 +116,21 @@ def test_segments_are_sorted(spark):
 def test_no_events_is_an_error(spark):
     with pytest.raises(RuntimeError):
         seg.segment_users(spark.createDataFrame([], "customerKey BIGINT, minutes_watched DOUBLE"))
+
+
+def test_silhouette_copies_no_point_per_block(spark, monkeypatch):
+    """Points go through shuffles once as packed blocks, and users without a cluster count with 0."""
+    rng = np.random.default_rng(13)
+    values = rng.normal(size=(90, 3)).round(2) * 100
+    rows = [(k, int(v[0]), float(v[1]), float(v[2]), int(k % 4) if k % 9 else None) for k, v in enumerate(values)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(seg, "ROWS_PER_BLOCK", 7)
+    monkeypatch.setattr(seg, "BLOCKS_PER_STRETCH", 3)
+    found = seg.silhouette(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "explode" not in plan
+    given = np.array([r[1:4] for r in rows])
+    z = (given - given.mean(axis=0)) / given.std(axis=0)
+    known = np.array([r[4] is not None for r in rows])
+    score = brute_silhouette(z[known], np.array([r[4] for r in rows if r[4] is not None]))
+    assert found.first()[0] == pytest.approx(score * known.sum() / len(rows), abs=1e-6)
