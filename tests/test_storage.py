@@ -94,3 +94,26 @@ def test_a_key_with_many_matches(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "collect_list" not in plan
     assert nest_lookup(left, right, "k", "k", "m").selectExpr("max(size(m))").first()[0] == 20_000
+
+
+def _files(folder):
+    return [p for p in folder.rglob("*") if p.is_file() and p.name.startswith("part-")]
+
+
+def test_exported_tables_are_compressed_and_leave_no_shuffle(spark, tmp_path):
+    dropped, before = [], spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+
+    def seen():
+        dropped.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+        return spark.range(3)
+
+    df = spark.range(5000).selectExpr("id AS `Long Name Of A Key`", "'the same text' AS `Long Name Of A Text`")
+    report = export_tables(spark, {"t": df}, str(tmp_path / "out")).first()
+    assert (report.Status, report.Rows) == ("written", 5000)
+    files = _files(tmp_path / "out" / "t")
+    assert all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) * 4 < len('{"Long Name Of A Key":1000,"Long Name Of A Text":"the same text"}\n') * 5000
+    back = spark.read.json(str(tmp_path / "out" / "t"))
+    assert sorted(map(tuple, back.collect())) == [(n, "the same text") for n in range(5000)]
+    export_datasets(spark, {"x": seen}, str(tmp_path / "out"))
+    assert dropped == ["true"] and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
