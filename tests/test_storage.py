@@ -117,3 +117,12 @@ def test_exported_tables_are_compressed_and_leave_no_shuffle(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [(n, "the same text") for n in range(5000)]
     export_datasets(spark, {"x": seen}, str(tmp_path / "out"))
     assert dropped == ["true"] and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+def test_exported_datasets_are_compressed(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a,\nb"), (2, ""), (3, None)], "k int, text string").dropDuplicates()
+    assert export_datasets(spark, {"t": lambda: df}, str(tmp_path)).first().Rows == 3
+    assert all(f.name.endswith(".csv.gz") for f in _files(tmp_path / "t"))
+    export_datasets(spark, {"t.csv": lambda: df}, str(tmp_path))
+    back = {r.k: r.text for r in read_table(spark, str(tmp_path / "t.csv"), df.schema).collect()}
+    assert back == {1: "a,\nb", 2: "", 3: None}
