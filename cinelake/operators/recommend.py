@@ -31,8 +31,9 @@ CELLS_PER_TASK = 250_000
 
 # Similarities of a tile, some 64 MB, and cells of a block of users that meet it in a task.
 NEAR_PER_TILE = 4_000_000
-CELLS_PER_BLOCK = 2_000_000
-OFFERS_PER_STEP = 2_000_000
+CELLS_PER_BLOCK = 1_000_000
+OFFERS_PER_STEP = 500_000
+SENT_PER_BLOCK = 2_000_000
 
 # Rows of three numbers up to which a counted table is broadcast, some 50 MB as a hash table.
 BROADCAST_ROWS = 1_000_000
@@ -118,6 +119,20 @@ def _own_minutes() -> Column:
     return F.max(F.when(F.col("similarity").isNull(), F.col("Minutes"))).alias("_own")
 
 
+def _viewed_by(asked: DataFrame, viewed: DataFrame, cell_count: int, tasks: int) -> DataFrame:
+    """What the ``other`` of each asked row viewed, in partitions by ``row``. Where the cells are too many
+    to broadcast, a user's cells travel as one array and are dealt out after the rows have come together."""
+    if cell_count <= BROADCAST_ROWS:
+        return asked.repartition(tasks, "row").join(F.broadcast(viewed), "other")
+    cells = viewed.groupBy("other").agg(F.collect_list(F.struct("Content_Key", "Minutes")).alias("_cells"))
+    return (
+        asked.join(cells, "other")
+        .repartition(tasks, "row")
+        .select("row", "similarity", F.explode("_cells").alias("c"))
+        .select("row", "similarity", "c.Content_Key", "c.Minutes")
+    )
+
+
 def score_by_users(matrix: Matrix, neighbours: DataFrame, k: int = SIMILAR_USERS) -> DataFrame:
     """Similarity-weighted mean minutes of the similar users who saw a content.
 
@@ -140,8 +155,7 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame, k: int = SIMILAR_USERS
     tasks = task_count(matrix.cells.sparkSession, matrix.users * SIMILAR_USERS, CELLS_PER_TASK)
     asked = materialize(asked.repartition(tasks, "row"), "asked")
     votes = (
-        asked.repartition(tasks, "row")
-        .join(broadcast_if_small(viewed, matrix.cell_count), "other")
+        _viewed_by(asked, viewed, matrix.cell_count, tasks)
         .groupBy(F.col("row").alias("Customer_Key"), "Content_Key")
         .agg(
             F.count("similarity").alias("_viewers"),
@@ -168,7 +182,7 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame, k: int = SIMILAR_USERS
     )
     lacking = F.col("_viewers") < MIN_VIEWERS
     counted = votes.join(short, (F.col("Customer_Key") == F.col("_user")) & lacking, "left").join(
-        seen_by, (F.col("Content_Key") == F.col("_content")) & lacking, "left"
+        broadcast_if_small(seen_by, matrix.items * (k + 1)), (F.col("Content_Key") == F.col("_content")) & lacking, "left"
     )
     filled = F.coalesce(F.size(F.array_intersect("_fill", "_low_viewers")), F.lit(0))
     return _scored(counted.filter(F.col("_viewers") + F.greatest(filled, F.lit(0)) >= MIN_VIEWERS))
@@ -177,9 +191,10 @@ def score_by_users(matrix: Matrix, neighbours: DataFrame, k: int = SIMILAR_USERS
 _BEST = "array<struct<down:double,item:bigint,minutes:double>>"
 
 
-def _best_offers(k: int):
+def _best_offers(k: int, whole: bool):
     """For a block of users and a tile of similarities: of each (user, candidate) the best k of
-    the user's contents in the tile, and the minutes of each cell itself."""
+    the user's contents in the tile, and the minutes of each cell itself. A tile that holds the
+    ``whole`` of the similarities gives, in place of the lists, their sums."""
 
     def lists(starts: np.ndarray, total: int, down, item, minutes) -> pa.Array:
         entry = pa.StructArray.from_arrays(
@@ -187,19 +202,43 @@ def _best_offers(k: int):
         )
         return pa.ListArray.from_arrays(pa.array(np.r_[starts, total].astype(np.int32)), entry)
 
+    def sums(starts: np.ndarray, down, minutes) -> dict[str, pa.Array]:
+        # one entry of every list after the other, as a fold over the list adds them
+        size = np.diff(np.r_[starts, len(down)])
+        weight, weighted = np.zeros((2, len(starts)))
+        for n in range(size.max(initial=0)):
+            at = np.flatnonzero(size > n)
+            weight[at] -= down[starts[at] + n]
+            weighted[at] -= down[starts[at] + n] * minutes[starts[at] + n]
+        return {"weight": pa.array(weight), "weighted": pa.array(weighted)}
+
     def task(cells: pa.Table, near: pa.Table) -> pa.Table:
         user, item = cells["Customer_Key"].to_numpy(), cells["Content_Key"].to_numpy()
         minutes = cells["Minutes"].to_numpy()
         by = np.lexsort((item, user))
         user, item, minutes = user[by], item[by], minutes[by]
-        none = np.empty(0)
-        out = [(user, item, minutes, lists(np.zeros(len(user), int), 0, none, none.astype(int), none))]
         order = np.argsort(near["item"].to_numpy(), kind="stable")
         offered_by = near["item"].to_numpy()[order]
         candidate, similarity = near["other"].to_numpy()[order], near["similarity"].to_numpy()[order]
         first = np.searchsorted(offered_by, item, "left")
         count = np.searchsorted(offered_by, item, "right") - first
         done = np.r_[0, np.cumsum(count)]
+        none, out = np.empty(0), []
+
+        def give(users: np.ndarray, items: np.ndarray, own, starts, down, item, minutes) -> None:
+            found = {
+                "Customer_Key": pa.array(users, pa.int64()),
+                "Content_Key": pa.array(items, pa.int64()),
+                "own": pa.nulls(len(users), pa.float64()) if own is None else pa.array(own),
+            }
+            if whole:
+                found |= sums(starts, down, minutes)
+            else:
+                found["best"] = lists(starts, len(down), down, item, minutes)
+            out.append(pa.table(found))
+
+        if not whole:
+            give(user, item, minutes, np.zeros(len(user), int), none, none.astype(int), none)
         users = np.flatnonzero(np.r_[True, user[1:] != user[:-1], True][: len(user) + 1]) if len(user) else np.zeros(1, int)
         at = 0  # a step takes whole users, so that no (user, candidate) is split
         while at < len(users) - 1:
@@ -218,36 +257,48 @@ def _best_offers(k: int):
             kept = rank < k
             own, wanted, down = own[kept], wanted[kept], down[kept]
             starts = np.flatnonzero(fresh[kept])
-            out.append((user[own[starts]], wanted[starts], None, lists(starts, len(own), down, item[own], minutes[own])))
-        return pa.concat_tables(
-            pa.table(
-                {
-                    "Customer_Key": pa.array(u, pa.int64()),
-                    "Content_Key": pa.array(c, pa.int64()),
-                    "own": pa.nulls(len(u), pa.float64()) if o is None else pa.array(o),
-                    "best": best,
-                }
-            )
-            for u, c, o, best in out
-        )
+            mine = None
+            if whole:  # the user's own minutes on the candidate, where there is such a cell
+                mine = _own_cells(user[a:b], item[a:b], minutes[a:b], user[own[starts]], wanted[starts])
+            give(user[own[starts]], wanted[starts], mine, starts, down, item[own], minutes[own])
+        if not out:
+            give(user[:0], item[:0], none, none.astype(int), none, none.astype(int), none)
+        return pa.concat_tables(out)
 
     return task
 
 
+def _own_cells(user: np.ndarray, item: np.ndarray, minutes: np.ndarray, users: np.ndarray, items: np.ndarray) -> pa.Array:
+    """Minutes of the wanted (user, item) among cells sorted by both, missing where there is no cell."""
+    names, number = np.unique(item, return_inverse=True)
+    people, person = np.unique(user, return_inverse=True)
+    cell = person * len(names) + number
+    place = np.minimum(np.searchsorted(names, items), len(names) - 1)
+    wanted = np.searchsorted(people, users) * len(names) + place
+    at = np.minimum(np.searchsorted(cell, wanted), len(cell) - 1)
+    return pa.array(minutes[at], mask=(cell[at] != wanted) | (names[place] != items))
+
+
 def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) -> DataFrame:
     """Similarity-weighted mean minutes a user spent on the k seen contents most
     similar to a candidate; only positive similarity counts.
 
     Similarities are stored as tiles by the offering content, and cells are blocked by
     user; a block meets a tile in one task, which sends on the best k per user and
-    candidate only. Those partial lists are merged per user and candidate. A cell goes to
-    one task, a tile to each block of users. What offers a task makes from its cells
-    stays there, a bounded number at a time.
+    candidate only. Those partial lists are merged per user and candidate; where one tile
+    holds all similarities, the task sends on their sums. A cell goes to one task, a tile to
+    each block of users. What offers a task makes from its cells stays there, a bounded
+    number at a time, and a block has so few cells that what is sent on is bounded as well.
     """
     near = materialize(both_ways(pairs.filter(F.col("similarity") > 0)), "near")
     spark = matrix.cells.sparkSession
-    tiles = max(1, -(-near.count() // NEAR_PER_TILE))
-    blocks = max(-(-matrix.cell_count // CELLS_PER_BLOCK), -(-cores(spark) // tiles))
+    size = near.agg(F.count("*").alias("n"), F.count_distinct("other").alias("others")).first()
+    tiles = max(1, -(-size["n"] // NEAR_PER_TILE))
+    # of what a user is sent, there is an entry (of k, unless summed) per candidate
+    per_user = min(size["others"], -(-size["n"] // tiles)) * (1 if tiles == 1 else k)
+    blocks = max(
+        -(-matrix.cell_count // CELLS_PER_BLOCK), -(-matrix.users * per_user // SENT_PER_BLOCK), -(-cores(spark) // tiles)
+    )
     tile = lambda key: F.pmod(F.xxhash64(key), F.lit(tiles))
     cells = matrix.seen.select(
         F.pmod(F.xxhash64("Customer_Key"), F.lit(blocks)).alias("block"), tile("Content_Key").alias("tile"),
@@ -255,14 +306,17 @@ def score_by_items(matrix: Matrix, pairs: DataFrame, k: int = SIMILAR_ITEMS) ->
     )
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
     offers = near.select(every.alias("block"), tile("item").alias("tile"), "item", "other", "similarity")
+    found = "weight DOUBLE, weighted DOUBLE" if tiles == 1 else f"best {_BEST}"
     partial = (
         cells.groupBy("block", "tile")
         .cogroup(offers.groupBy("block", "tile"))
         .applyInArrow(
-            lambda left, right: _best_offers(k)(left, right),
-            f"Customer_Key BIGINT, Content_Key BIGINT, own DOUBLE, best {_BEST}",
+            lambda left, right: _best_offers(k, tiles == 1)(left, right),
+            f"Customer_Key BIGINT, Content_Key BIGINT, own DOUBLE, {found}",
         )
     )
+    if tiles == 1:
+        return _scored(partial.withColumnsRenamed({"own": "_own", "weight": "_weight", "weighted": "_weighted"}))
     merged = partial.groupBy("Customer_Key", "Content_Key").agg(
         F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k).alias("_best"), F.max("own").alias("_own")
     )

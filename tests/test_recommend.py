@@ -379,3 +379,25 @@ def test_top_recommended_breaks_ties_by_key(spark):
     got = metrics.top_recommended(lists, titles, n=2).collect()
     assert [tuple(r) for r in got] == [(9, "x" * 34, 2), (5, "Content 5", 1)]
     assert lists.agg(F.count("*")).first()[0] == 4
+
+
+def test_cells_too_many_to_broadcast_give_the_same_scores(spark, monkeypatch):
+    dense, touched = random_matrix(31, users=24, items=14, density=0.4)
+    matrix = build_matrix(events_of(spark, dense, touched))
+    monkeypatch.setattr(recommend, "BROADCAST_ROWS", 0)
+    scored = recommend.score_by_users(matrix, recommend.positive_users(matrix))
+    # votes are counted where their rows came together: no shuffle of a row per vote
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(struct" in plan and "_cells" in plan
+    assert_same_lists(lists_of(recommend.top_lists(scored, matrix)), by_users(dense))
+
+
+@pytest.mark.parametrize("sent", [2_000_000, 40])
+def test_one_tile_sends_sums_and_no_lists(spark, monkeypatch, sent):
+    dense, touched = random_matrix(33, users=25, items=24, density=0.5)
+    matrix = build_matrix(events_of(spark, dense, touched))
+    monkeypatch.setattr(recommend, "SENT_PER_BLOCK", sent)
+    pairs = similarity.item_pairs(matrix)
+    scored = recommend.score_by_items(matrix, pairs)
+    assert "flatten" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert_same_lists(lists_of(recommend.top_lists(scored, matrix)), by_items(dense, cosine(centre(dense).T)))
