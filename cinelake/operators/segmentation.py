@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinelake.functions.scalars import to_key, to_number
-from cinelake.operators.pairwise import MAX_TASKS, blocks_for, busy_blocks, dealt, stretch_pairs
+from cinelake.operators.pairwise import MAX_TASKS, blocks_for, busy_blocks, dealt, held_blocks, stretch_pairs
 from cinelake.session import cores, materialize
 from cinelake.sources.readers import require_rows, resolve_columns
 from cinelake.sources.schemas import EVENT_ALIASES
@@ -271,25 +271,17 @@ def silhouette(assigned: DataFrame) -> DataFrame:
         packed = {c: pa.array([x.tobytes()], pa.binary()) for c, x in zip(binaries, arrays)}
         return pa.table({"block": table["_block"].combine_chunks()[:1]} | packed)
 
-    def read(batch: pa.RecordBatch, n: int, side: str) -> _Points:
-        buffers = [batch[side + c][n].as_py() for c in binaries]
+    def read(buffers: list[bytes]) -> _Points:
         return _Points(np.frombuffer(buffers[0], np.int64), *[np.frombuffer(x) for x in buffers[1:]])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, kept, last, left = {}, {}, None, None
-        for batch in batches:
-            for n in range(batch.num_rows):
-                lo, hi = batch["lblock"][n].as_py(), batch["rblock"][n].as_py()
-                if lo != last:
-                    last, left = lo, read(batch, n, "l")
-                right = left if lo == hi else read(batch, n, "r")
-                for block, own in ((lo, left), (hi, right)):
-                    if block not in sums:
-                        sums[block], kept[block] = np.zeros((len(own.weight), len(names))), (own.ends, own.weight)
-                _add_distances(left, right, sums[lo], sums[hi])
-        for block, total in sums.items():
-            packed = {k: pa.array([x.tobytes()], pa.binary()) for k, x in zip(("ends", "weight", "sums"), (*kept[block], total))}
-            yield pa.record_batch({"block": pa.array([block], pa.int32())} | packed)
+        held, pairs = held_blocks(batches, binaries, read)
+        sums = {n: np.zeros((len(block.weight), len(names))) for n, block in held.items()}
+        for lo, hi in pairs:
+            _add_distances(held[lo], held[hi], sums[lo], sums[hi])
+        for n, block in held.items():
+            packed = {k: pa.array([x.tobytes()], pa.binary()) for k, x in zip(("ends", "weight", "sums"), (block.ends, block.weight, sums[n]))}
+            yield pa.record_batch({"block": pa.array([n], pa.int32())} | packed)
 
     def score(table: pa.Table) -> pa.Table:
         """The summed score of a block's points; 0 for one alone in its cluster, or without another cluster."""

@@ -30,11 +30,17 @@ def test_nearest_rows_of_packed_blocks(spark, monkeypatch, rows_per_block):
     assert {(r.row, r.other): r.similarity for r in best.collect()} == pytest.approx(expected(full, 2), abs=2e-9)
 
 
-def test_blocks_are_not_copied_into_a_shuffle(spark):
+def test_blocks_travel_packed_and_once_per_stretch(spark):
     _, cells = units_of(np.random.default_rng(4).random((30, 5)))
     best = pairwise.top_positive(spark.createDataFrame(cells, "row BIGINT, feature BIGINT, value DOUBLE"), 30, 150, 3)
     plan = best._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" in plan and "SinglePartition" not in plan and plan.count("Generate explode") == 1
+    assert "inline" in plan and "FlatMapGroupsInPandas" not in plan and "CartesianProduct" not in plan
+    packed = spark.range(12).selectExpr("CAST(id AS INT) AS block")
+    dealt = pairwise.stretch_pairs(packed, 4, 12)
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 12 * 4
+    ends = dealt.rdd.map(lambda r: (r.lo, r.hi)).mapPartitions(lambda rows: [len(set(rows))]).collect()
+    assert ends == [1] * 10
+    assert pairwise.dealt(50, pairwise.BLOCKS_PER_STRETCH, 6) == (13, 52)  # 13 copies of a block, not 50
 
 
 def test_a_list_takes_lower_keys_of_equal_cosine_later(monkeypatch):

@@ -128,7 +128,7 @@ def test_silhouette_copies_no_point_per_block(spark, monkeypatch):
     monkeypatch.setattr(seg, "BLOCKS_PER_STRETCH", 3)
     found = seg.silhouette(df)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" in plan and "explode" not in plan
+    assert "inline" in plan and "explode" not in plan and "CartesianProduct" not in plan
     given = np.array([r[1:4] for r in rows])
     z = (given - given.mean(axis=0)) / given.std(axis=0)
     known = np.array([r[4] is not None for r in rows])
